@@ -6,12 +6,11 @@ from pyspark.sql import Column, functions as F
 
 # 13 hex digits are 52 bits: the largest whole number of digits a double holds exactly.
 HEX_DIGITS = 13
-SCALE = float(16**HEX_DIGITS)
 
 
-def uniform(seed: int | str, *keys: Column | str) -> Column:
+def uniform(seed: int | str, *keys: Column | str, digits: int = HEX_DIGITS) -> Column:
     """u in [0, 1) from md5 of ``seed|key|key...``; the same value in every run."""
     parts = [F.col(k) if isinstance(k, str) else k for k in keys]
     text = F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts])
-    digits = F.conv(F.substring(F.md5(text.cast("binary")), 1, HEX_DIGITS), 16, 10)
-    return digits.cast("double") / F.lit(SCALE)
+    found = F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10)
+    return found.cast("double") / F.lit(float(16**digits))
