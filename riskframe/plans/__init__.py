@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from riskframe.plans import encoding, fidelity, profiles, samples, stability  # noqa: F401
+from riskframe.plans import encoding, fidelity, models, profiles, rules, samples, scores, stability, streams  # noqa: F401
 from riskframe.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
