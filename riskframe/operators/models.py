@@ -18,6 +18,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, functions as F
 
 from riskframe.operators.orderstats import auc
+from riskframe.operators.passes import spread_small
 from riskframe.operators.profile import f1_score
 from riskframe.operators.sampling import draw_parameters
 from riskframe.operators.scorecard import ATTRIBUTION, LinearScorecard
@@ -55,7 +56,7 @@ def _prepare(df: DataFrame, label: str) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.withColumn(label, F.col(label).cast("double"))
+    return spread_small(df.withColumn(label, F.col(label).cast("double")))
 
 
 def train_gbt(
