@@ -32,54 +32,75 @@ ANOMALY_GRADE = "Undefined"
 TREE_CUTS = 64
 
 
-def _tree(value: Column, cuts: Sequence[float], leaves: Sequence[Column], right_closed: bool) -> Column:
+def literal(number: float) -> str:
+    """A double literal of SQL text."""
+    if math.isinf(number):
+        return f"double('{'-' if number < 0 else ''}Infinity')"
+    return f"{float(number)!r}D"
+
+
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def text_literal(value: float | str) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return literal(value)
+
+
+def _tree(name: str, cuts: Sequence[str], leaves: Sequence[str], test: str) -> str:
+    """Balanced tree of comparisons as SQL text: one parse instead of a call per node."""
     if not cuts:
         return leaves[0]
     mid = len(cuts) // 2
-    test = value <= F.lit(cuts[mid]) if right_closed else value < F.lit(cuts[mid])
-    low = _tree(value, cuts[:mid], leaves[: mid + 1], right_closed)
-    high = _tree(value, cuts[mid + 1 :], leaves[mid + 1 :], right_closed)
-    return F.when(test, low).otherwise(high)
+    low = _tree(name, cuts[:mid], leaves[: mid + 1], test)
+    high = _tree(name, cuts[mid + 1 :], leaves[mid + 1 :], test)
+    return f"CASE WHEN {name} {test} {cuts[mid]} THEN {low} ELSE {high} END"
 
 
-def cut_index(value: Column, cuts: Sequence[float], right_closed: bool = True) -> Column:
-    """How many ``cuts`` lie below ``value`` (or at it, when bins are left-closed); null stays null.
+def cut_index(column: str, cuts: Sequence[float], right_closed: bool = True) -> Column:
+    """How many ``cuts`` lie below a column (or at it, when bins are left-closed); null stays null.
 
     A balanced tree of comparisons inside generated code up to TREE_CUTS; beyond that a two-level
     search over literal arrays, so that bucket counts can follow the size of the data.
     """
-    cuts = [c if isinstance(c, str) else float(c) for c in cuts]
+    name, test = quoted(column), "<=" if right_closed else "<"
+    texts = [text_literal(c) for c in cuts]
     if len(cuts) <= TREE_CUTS:
-        index = _tree(value, cuts, [F.lit(i) for i in range(len(cuts) + 1)], right_closed)
-        return F.when(value.isNotNull(), index)
+        index = _tree(name, texts, [str(i) for i in range(len(cuts) + 1)], test)
+        return F.expr(f"CASE WHEN {name} IS NOT NULL THEN {index} END")
+    below = "<" if right_closed else "<="
     width = math.ceil(math.sqrt(len(cuts)))
-    chunks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    chunks = [texts[i : i + width] for i in range(0, len(texts), width)]
     heads = [chunk[-1] for chunk in chunks[:-1]]
-    below = (lambda e: e < value) if right_closed else (lambda e: e <= value)
-    coarse = cut_index(value, heads, right_closed) if len(heads) <= TREE_CUTS else F.size(
-        F.filter(F.lit(heads), below)
-    )
-    fine = F.element_at(F.array(*[F.lit(chunk) for chunk in chunks]), coarse + 1)
-    return F.when(value.isNotNull(), coarse * F.lit(width) + F.size(F.filter(fine, below)))
+    coarse = f"size(filter(array({', '.join(heads)}), e -> e {below} {name}))"
+    if len(heads) <= TREE_CUTS:
+        coarse = _tree(name, heads, [str(i) for i in range(len(heads) + 1)], test)
+    table = ", ".join(f"array({', '.join(chunk)})" for chunk in chunks)
+    fine = f"size(filter(element_at(array({table}), {coarse} + 1), e -> e {below} {name}))"
+    return F.expr(f"CASE WHEN {name} IS NOT NULL THEN {coarse} * {width} + {fine} END")
+
+
+def _within(column: str, edges: Sequence[float]) -> Column:
+    name = quoted(column)
+    return F.expr(f"{name} >= {literal(edges[0])} AND {name} <= {literal(edges[-1])}")
 
 
-def right_closed_bin(value: Column, edges: Sequence[float]) -> Column:
+def right_closed_bin(column: str, edges: Sequence[float]) -> Column:
     """0-based bin of ``(edges[i], edges[i+1]]``; the first bin holds its left edge; outside is null."""
-    inside = (value >= F.lit(float(edges[0]))) & (value <= F.lit(float(edges[-1])))
-    return F.when(inside, cut_index(value, edges[1:-1], right_closed=True))
+    return F.when(_within(column, edges), cut_index(column, edges[1:-1], right_closed=True))
 
 
-def left_closed_bin(value: Column, edges: Sequence[float]) -> Column:
+def left_closed_bin(column: str, edges: Sequence[float]) -> Column:
     """0-based bin of ``[edges[i], edges[i+1])``; the last bin holds its right edge; outside is null."""
-    inside = (value >= F.lit(float(edges[0]))) & (value <= F.lit(float(edges[-1])))
-    return F.when(inside, cut_index(value, edges[1:-1], right_closed=False))
+    return F.when(_within(column, edges), cut_index(column, edges[1:-1], right_closed=False))
 
 
-def map_right_closed(value: Column, edges: Sequence[float], results: Sequence[float]) -> Column:
-    """The result of the right-closed bin of ``value`` without an intermediate bin id."""
-    inside = (value >= F.lit(float(edges[0]))) & (value <= F.lit(float(edges[-1])))
-    leaves = [F.lit(float(r)) for r in results]
-    return F.when(inside, _tree(value, [float(e) for e in edges[1:-1]], leaves, True))
+def map_right_closed(column: str, edges: Sequence[float], results: Sequence[float]) -> Column:
+    """The result of the right-closed bin of a column without an intermediate bin id."""
+    found = _tree(quoted(column), [literal(e) for e in edges[1:-1]], [literal(r) for r in results], "<=")
+    return F.when(_within(column, edges), F.expr(found))
 
 
 def equal_width_edges(low: float, high: float, bins: int) -> list[float]:

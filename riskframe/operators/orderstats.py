@@ -43,6 +43,11 @@ class Sketch:
     cuts: list[float]
 
 
+def _approximate_cuts(column: str, buckets: int) -> Column:
+    shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    return F.expr(f"percentile_approx(`{column}`, array({shares}), {max(SKETCH_ACCURACY, 10 * buckets)})")
+
+
 def _cut_points(quantiles: Sequence[float]) -> list[float]:
     """Distinct cut points; a value the sketch repeats is hot and gets a bucket of its own."""
     cuts = set(quantiles)
@@ -50,10 +55,18 @@ def _cut_points(quantiles: Sequence[float]) -> list[float]:
     return sorted(c for c in cuts if c != math.inf)
 
 
+def named_values(df: DataFrame, values: Sequence[Column], keep: Sequence[Column] = ()) -> tuple[DataFrame, list[str]]:
+    """Compute the values once per row, as columns.
+
+    A search tree mentions its value at every node; over a plain column that costs a comparison, over
+    an expression (a hash, say) it would repeat the expression in the plan and in the generated code.
+    """
+    named = df.select(*keep, *[v.alias(f"__v{i}") for i, v in enumerate(values)])
+    return named, [f"__v{i}" for i in range(len(values))]
+
+
 def sketch(df: DataFrame, values: Sequence[Column], buckets: int = SKETCH_BUCKETS) -> list[Sketch]:
     """Count, approximate distinct count, range and approximate cut points of every column in one scan."""
-    shares = [i / buckets for i in range(1, buckets)]
-    accuracy = max(SKETCH_ACCURACY, 10 * buckets)
     named = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
     aggs = []
     for i in range(len(values)):
@@ -63,7 +76,7 @@ def sketch(df: DataFrame, values: Sequence[Column], buckets: int = SKETCH_BUCKET
             F.approx_count_distinct(c, DISTINCT_RSD).alias(f"d{i}"),
             F.min(c).alias(f"lo{i}"),
             F.max(c).alias(f"hi{i}"),
-            F.percentile_approx(c, shares, accuracy).alias(f"q{i}"),
+            _approximate_cuts(f"v{i}", buckets).alias(f"q{i}"),
         ]
     row = named.agg(*aggs).first()
     return [
@@ -101,6 +114,7 @@ def select_ranks(
     """
     if sketches is None:
         sketches = sketch(df, values, buckets)
+    df, values = named_values(df, values)
     ranges = [
         _Range(i, -math.inf, math.inf, 0, s.rows, s.distinct) for i, s in enumerate(sketches) if s.rows and ranks[i]
     ]
@@ -119,7 +133,8 @@ def select_ranks(
     return _pick(df, values, ranges, wanted)
 
 
-def _in_range(value: Column, r: _Range) -> Column:
+def _in_range(name: str, r: _Range) -> Column:
+    value = F.col(name)
     test = value.isNotNull()
     if r.low != -math.inf:
         test = test & (value > F.lit(r.low))
@@ -128,7 +143,7 @@ def _in_range(value: Column, r: _Range) -> Column:
     return test
 
 
-def _range_id(values: Sequence[Column], ranges: Sequence[_Range], feature: int) -> Column:
+def _range_id(values: Sequence[str], ranges: Sequence[_Range], feature: int) -> Column:
     out = F.lit(None).cast("int")
     for i, r in enumerate(ranges):
         if r.feature == feature:
@@ -136,12 +151,12 @@ def _range_id(values: Sequence[Column], ranges: Sequence[_Range], feature: int)
     return out
 
 
-def _long(df: DataFrame, values: Sequence[Column], ranges: Sequence[_Range], extra=None) -> DataFrame:
+def _long(df: DataFrame, values: Sequence[str], ranges: Sequence[_Range], extra=None) -> DataFrame:
     """Rows of the given ranges only, as (range_id, value, ...)."""
     features = sorted({r.feature for r in ranges})
     cells = []
     for f in features:
-        cell = {"range_id": _range_id(values, ranges, f), "value": values[f]}
+        cell = {"range_id": _range_id(values, ranges, f), "value": F.col(values[f])}
         if extra:
             cell["bucket"] = extra(f)
         cells.append(F.struct(*[c.alias(n) for n, c in cell.items()]))
@@ -174,11 +189,10 @@ def _split(df, values, ranges, cuts, wanted) -> list[_Range]:
 
 
 def _range_cuts(df, values, ranges, buckets) -> dict[int, list[float]]:
-    shares = [i / buckets for i in range(1, buckets)]
     rows = (
         _long(df, values, ranges)
         .groupBy("range_id")
-        .agg(F.percentile_approx("value", shares, max(SKETCH_ACCURACY, 10 * buckets)).alias("q"))
+        .agg(_approximate_cuts("value", buckets).alias("q"))
         .collect()
     )
     cuts: dict[int, set[float]] = {}
@@ -259,12 +273,13 @@ def running_counts(
     if sketches is None:
         sketches = sketch(df, values)
     cuts = _bucket_cuts(df, values, sketches, rows_per_bucket)
+    df, values = named_values(df, values, [m.alias(n) for n, m in measures.items()])
     cells = [
-        F.struct(F.lit(i).alias("feature_id"), cut_index(v, cuts[i]).alias("bucket"), v.alias("value"))
+        F.struct(F.lit(i).alias("feature_id"), cut_index(v, cuts[i]).alias("bucket"), F.col(v).alias("value"))
         for i, v in enumerate(values)
     ]
     per_value = (
-        df.select(*[m.alias(n) for n, m in measures.items()], F.explode(F.array(*cells)).alias("cell"))
+        df.select(*names, F.explode(F.array(*cells)).alias("cell"))
         .select("cell.*", *names)
         .where(F.col("value").isNotNull())
     )
@@ -321,7 +336,7 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx", rows_per
     else:
         first = as_value(order[0])
         cuts = _bucket_cuts(df, [first], sketch(df, [first]), rows_per_bucket)[0]
-    bucketed = df.withColumn("__bucket", F.coalesce(cut_index(first, cuts), F.lit(-1)))
+    bucketed = df.withColumn("__first", first).withColumn("__bucket", F.coalesce(cut_index("__first", cuts), F.lit(-1))).drop("__first")
     window = Window.partitionBy("__bucket").orderBy(*order)
     numbered = bucketed.withColumn(name, F.row_number().over(window).cast("long") - 1)
     if not cuts:

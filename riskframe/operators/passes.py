@@ -29,7 +29,7 @@ def several_passes(df: DataFrame, cache: bool) -> Iterator[DataFrame]:
     if not cache:
         yield df
         return
-    kept = spread_small(df).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
     finally:

@@ -13,6 +13,7 @@ from riskframe.functions.hashing import uniform
 from riskframe.operators.lookup import lookup
 from riskframe.operators.neighbors import distinct_vectors, nearest
 from riskframe.operators.orderstats import as_value, dense_index, select_ranks
+from riskframe.operators.passes import several_passes
 from riskframe.operators.rows import require_target
 from riskframe.session import cut_lineage
 
@@ -37,8 +38,18 @@ def allocate(counts: Mapping, total: int) -> dict:
     return given
 
 
-def _first_rows(df: DataFrame, label: str, u: Column, key: Column, plans: Sequence[Mapping]) -> list[Column]:
-    """Per plan, a test that holds for the ``plan[c]`` rows of each class ``c`` that come first by (u, key)."""
+def _first_rows(
+    df: DataFrame, label: str, u: Column, key: Column, plans: Sequence[Mapping], name: Sequence[str], cache_input: bool = False
+) -> DataFrame:
+    """``df`` with one flag per plan: true for the ``plan[c]`` rows of each class ``c`` that come first by (u, key)."""
+    hashed = df.withColumns({"__u": u, "__key": key})
+    with several_passes(hashed.select(label, "__u", "__key"), cache_input) as slim:
+        tests = _first_tests(slim, label, plans)
+    return hashed.withColumns(dict(zip(name, tests))).drop("__u", "__key")
+
+
+def _first_tests(df: DataFrame, label: str, plans: Sequence[Mapping]) -> list[Column]:
+    u, key = F.col("__u"), F.col("__key")
     classes = sorted({c for p in plans for c in p if p[c] > 0}, key=str)
     values = [F.when(F.col(label) == c, u) for c in classes]
     ranks = [sorted({p[c] - 1 for p in plans if p.get(c, 0) > 0}) for c in classes]
@@ -72,7 +83,9 @@ def _first_rows(df: DataFrame, label: str, u: Column, key: Column, plans: Sequen
     return out
 
 
-def stratified_flag(df: DataFrame, label: str, key: Sequence[str], test_share: float = 0.3, seed: int = 42) -> DataFrame:
+def stratified_flag(
+    df: DataFrame, label: str, key: Sequence[str], test_share: float = 0.3, seed: int = 42, cache_input: bool = False
+) -> DataFrame:
     """``df`` with ``is_test``: exactly ceil(test_share * n) rows, class shares kept.
 
     The cut is an exact order statistic of the hash per class, found without sorting the table, so the
@@ -83,8 +96,7 @@ def stratified_flag(df: DataFrame, label: str, key: Sequence[str], test_share: f
     size = sum(counts.values())
     train = allocate(counts, size - math.ceil(test_share * size))
     test = {c: n - train[c] for c, n in counts.items()}
-    u = uniform(seed, *key)
-    return df.withColumn("is_test", _first_rows(df, label, u, _key_text(key), [test])[0])
+    return _first_rows(df, label, uniform(seed, *key), _key_text(key), [test], ["is_test"], cache_input)
 
 
 def stratified_split(
@@ -100,14 +112,18 @@ def plain_split(df: DataFrame, key: Sequence[str], test_share: float = 0.3, seed
     return df.where(u >= F.lit(test_share)), df.where(u < F.lit(test_share))
 
 
-def assign_folds(df: DataFrame, label: str, key: Sequence[str], folds: int = 3, seed: int = 42, name: str = "fold") -> DataFrame:
+def assign_folds(
+    df: DataFrame, label: str, key: Sequence[str], folds: int = 3, seed: int = 42, name: str = "fold", cache_input: bool = False
+) -> DataFrame:
     """Stratified folds: per class, ranks of the hash cut into ``folds`` runs whose sizes differ by at most one."""
     counts = class_counts(df, label)
     starts = [{c: _fold_start(n, folds, f) for c, n in counts.items()} for f in range(1, folds)]
+    flags = [f"__before{f}" for f in range(1, folds)]
+    flagged = _first_rows(df, label, uniform(seed, *key), _key_text(key), starts, flags, cache_input)
     fold = F.lit(0)
-    for before in _first_rows(df, label, uniform(seed, *key), _key_text(key), starts):
-        fold = fold + F.when(before, F.lit(0)).otherwise(F.lit(1))
-    return df.withColumn(name, fold)
+    for flag in flags:
+        fold = fold + F.when(F.col(flag), F.lit(0)).otherwise(F.lit(1))
+    return flagged.withColumn(name, fold).drop(*flags)
 
 
 def _fold_start(rows: int, folds: int, fold: int) -> int:

@@ -193,5 +193,5 @@ def equal_width_bins(spark, sf_dir):
 
     data = credit(spark, sf_dir)
     edges = equal_width_edges(*value_range(data, "l_extendedprice"), 10)
-    binned = data.select(right_closed_bin(F.col("l_extendedprice"), edges).alias("bin_id"), "y")
+    binned = data.select(right_closed_bin("l_extendedprice", edges).alias("bin_id"), "y")
     return binned.groupBy("bin_id").agg(F.count("*").alias("n"), big(F.sum("y")).alias("events"))

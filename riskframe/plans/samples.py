@@ -23,7 +23,7 @@ given AS (SELECT y, base + CASE WHEN row_number() OVER (ORDER BY share - base DE
 SELECT {_KEYS}, ranked.y, r <= n_c - train AS is_test FROM ranked JOIN given USING (y)""",
 )
 def stratified_split(spark, sf_dir):
-    return sampling.stratified_flag(credit(spark, sf_dir).select(*LINE_KEY, "y"), "y", LINE_KEY)
+    return sampling.stratified_flag(credit(spark, sf_dir).select(*LINE_KEY, "y"), "y", LINE_KEY, cache_input=True)
 
 
 @query(
@@ -33,7 +33,7 @@ SELECT {_KEYS}, y, (CASE WHEN r > n_c // 3 + least(1, n_c % 3) THEN 1 ELSE 0 END
   + CASE WHEN r > 2 * (n_c // 3) + least(2, n_c % 3) THEN 1 ELSE 0 END)::INT AS fold FROM ranked""",
 )
 def fold_assignment(spark, sf_dir):
-    return sampling.assign_folds(credit(spark, sf_dir).select(*LINE_KEY, "y"), "y", LINE_KEY)
+    return sampling.assign_folds(credit(spark, sf_dir).select(*LINE_KEY, "y"), "y", LINE_KEY, cache_input=True)
 
 
 @query("hash_sample", f"SELECT {_KEYS} FROM lineitem ORDER BY {_U}, {_KEYS} LIMIT 250")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskframe.functions import risk
 from riskframe.functions.hashing import HEX_DIGITS, uniform
+from riskframe.operators.passes import spread_small
 from riskframe.plans.registry import table
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -24,7 +25,8 @@ def credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = uniform("42", "l_orderkey", "l_linenumber", "l_partkey", digits=8)
     returned = F.when(F.col("l_returnflag") == "R", F.lit(0.15)).otherwise(F.lit(0.0))
     risk_level = F.lit(0.05) + F.lit(0.004) * F.col("l_quantity") + F.col("l_discount") + returned
-    return table(spark, sf_dir, "lineitem").withColumn("y", F.when(u < risk_level, F.lit(1)).otherwise(F.lit(0)))
+    # Small fixtures are one row group: without spreading them one core would compute every hash.
+    return spread_small(table(spark, sf_dir, "lineitem")).withColumn("y", F.when(u < risk_level, F.lit(1)).otherwise(F.lit(0)))
 
 
 CREDIT_SQL = f"""credit AS (

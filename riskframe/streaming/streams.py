@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskframe.functions.binning import left_closed_bin
@@ -36,13 +36,14 @@ class DriftReference:
     @classmethod
     def fit(cls, df: DataFrame, column: str, bins: int = 10, epsilon: float = 0.0001) -> "DriftReference":
         edges = drift_edges(df, [column], bins)[column]
-        counted = df.groupBy(left_closed_bin(as_value(column), edges).alias("b")).count().where("b is not null").collect()
+        named = df.select(as_value(column).alias(column))
+        counted = named.groupBy(left_closed_bin(column, edges).alias("b")).count().where("b is not null").collect()
         counts = {r["b"]: r["count"] for r in counted}
         total = sum(counts.values())
         return cls(column, edges, [counts.get(b, 0) / total for b in range(len(edges) - 1)], epsilon)
 
-    def bin_id(self) -> Column:
-        return left_closed_bin(as_value(self.column), self.edges)
+    def with_bin(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("__value", as_value(self.column)).withColumn("bin_id", left_closed_bin("__value", self.edges))
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(b, s) for b, s in enumerate(self.shares)], "bin_id int, ref_share double")
@@ -54,7 +55,7 @@ def window_counts(
     """``(window_start, window_end, bin_id, n)``; works on a stream and on a table."""
     timed = stream.withWatermark(ts, delay) if stream.isStreaming else stream
     counted = (
-        timed.withColumn("bin_id", reference.bin_id())
+        reference.with_bin(timed)
         .where(F.col("bin_id").isNotNull())
         .groupBy(F.window(ts, width, slide), "bin_id")
         .agg(F.count("*").alias("n"))
