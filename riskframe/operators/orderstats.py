@@ -253,6 +253,54 @@ def _lerp(a: float, b: float, t: float) -> float:
     return b - (b - a) * (1 - t) if t >= 0.5 else a + (b - a) * t
 
 
+def group_quantiles(
+    df: DataFrame, value: str, group: str, shares: Mapping[str, float], rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Exact linear quantiles per group: ``(group, n, <name>...)``, for any number of groups.
+
+    Groups are cut by value, so a group that holds a third of the rows is many (group, bucket) parts;
+    equal values are merged before they move. Nothing is collected but the cut points.
+    """
+    summary = sketch(df, [F.col(value)])
+    cuts = _bucket_cuts(df, [F.col(value)], summary, rows_per_bucket)[0]
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .select(group, F.col(value).alias("__x"))
+        .withColumn("__bucket", cut_index("__x", cuts))
+        .groupBy(group, "__bucket", "__x")
+        .agg(F.count("*").alias("__n"))
+    )
+    part = Window.partitionBy(group, "__bucket")
+    upto = part.orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
+    local = counts.withColumn("__upto", F.sum("__n").over(upto))
+    if cuts:
+        # One row per (group, bucket): a group's window holds at most MAX_BUCKETS rows.
+        totals = counts.groupBy(group, "__bucket").agg(F.sum("__n").alias("__t"))
+        before = Window.partitionBy(group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+        totals = totals.withColumn("__off", F.coalesce(F.sum("__t").over(before), F.lit(0))).withColumn(
+            "__size", F.sum("__t").over(Window.partitionBy(group))
+        )
+        totals = totals.withColumnsRenamed({group: "__g", "__bucket": "__b"})
+        same = F.col(group).eqNullSafe(F.col("__g")) & (F.col("__bucket") == F.col("__b"))
+        local = local.join(totals, same).withColumn("__upto", F.col("__upto") + F.col("__off"))
+    else:
+        local = local.withColumn("__size", F.sum("__n").over(Window.partitionBy(group)))
+    aggs = []
+    for i, (name, share) in enumerate(shares.items()):
+        place = (F.col("__size") - 1) * F.lit(float(share))
+        for end, rank in (("a", F.floor(place)), ("b", F.ceil(place))):
+            holds = (rank < F.col("__upto")) & (rank >= F.col("__upto") - F.col("__n"))
+            aggs.append(F.max(F.when(holds, F.col("__x"))).alias(f"__{end}{i}"))
+    ends = local.groupBy(group).agg(F.max("__size").alias("n"), *aggs)
+    out = []
+    for i, (name, share) in enumerate(shares.items()):
+        place = (F.col("n") - 1) * F.lit(float(share))
+        a, b, t = F.col(f"__a{i}"), F.col(f"__b{i}"), place - F.floor(place)
+        near_b = b - (b - a) * (F.lit(1.0) - t)
+        out.append(F.when(a == b, a).when(t >= 0.5, near_b).otherwise(a + (b - a) * t).alias(name))
+    return ends.select(group, "n", *out)
+
+
 def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     return max(1, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
 

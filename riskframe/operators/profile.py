@@ -10,10 +10,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.binning import histogram_bin
-from riskframe.operators.orderstats import as_value, inverted_ks, linear_quantiles, population_union
+from riskframe.operators.lookup import lookup
+from riskframe.operators.orderstats import as_value, group_quantiles, inverted_ks, population_union
 from riskframe.operators.rows import numeric_columns, string_columns
+from riskframe.session import cut_lineage
 
 GRID_POINTS = 200
+# Grids travel with every task, so the classes to draw must be few; more of them are refused.
+MAX_DENSITIES = 1_000
 # Equal ranges a numeric column is cut into when it is compared with a category column.
 PAIR_BINS = 10
 LOG_CLIP = 2.0**-52
@@ -55,11 +59,6 @@ def grouped_histogram(df: DataFrame, column: str, group: str, bins: int = 50) ->
     )
 
 
-def _groups(df: DataFrame, group: str) -> list:
-    """The distinct plot groups (classes or grades), in order."""
-    return sorted(r[0] for r in df.select(group).where(F.col(group).isNotNull()).distinct().collect())
-
-
 def density_grid(df: DataFrame, column: str, group: str, points: int = GRID_POINTS) -> DataFrame:
     """Gaussian kernel density of each group on its own grid: ``(group, grid_id, x, density)``.
 
@@ -73,9 +72,11 @@ def density_grid(df: DataFrame, column: str, group: str, points: int = GRID_POIN
         .agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"), F.stddev_samp(value).alias("sd"))
         .collect()
     )
+    if len(stats) > MAX_DENSITIES:
+        raise ValueError(f"{len(stats)} groups: a density is drawn per class, not per key")
     stats = sorted((r for r in stats if r["n"] > 1 and r["sd"]), key=lambda r: str(r[group]))
     spark = df.sparkSession
-    out = f"gid int, grid_id int, part double"
+    out = "gid int, grid_id int, part double"
     total = sum(r["n"] for r in stats)
     grids = [np.linspace(r["lo"], r["hi"], points) for r in stats]
     widths = [r["sd"] * r["n"] ** -0.2 for r in stats]
@@ -116,25 +117,17 @@ def density_grid(df: DataFrame, column: str, group: str, points: int = GRID_POIN
 
 def box_stats(df: DataFrame, column: str, group: str) -> DataFrame:
     """Quartiles, whiskers (last points inside 1.5 IQR) and outlier count per group."""
-    groups = _groups(df, group)
-    value = as_value(column)
-    values = [F.when(F.col(group) == F.lit(g), value) for g in groups]
-    quartiles = linear_quantiles(df, values, [0.25, 0.5, 0.75])
-    rows = [(g, *map(float, q)) for g, q in zip(groups, quartiles) if q]
-    frame = df.sparkSession.createDataFrame(rows, f"{group} {df.schema[group].dataType.simpleString()}, q1 double, median double, q3 double")
+    data = df.select(group, as_value(column).alias("v")).where(F.col("v").isNotNull() & F.col(group).isNotNull())
+    frame = cut_lineage(group_quantiles(data, "v", group, {"q1": 0.25, "median": 0.5, "q3": 0.75}))
+    key = frame.select(F.col(group).cast("string").alias("key"), "q1", "median", "q3", "n")
+    joined = lookup(data, key, F.col(group).cast("string"), ["q1", "median", "q3"], weight="n")
     fence = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     inside = (F.col("v") >= F.col("q1") - fence) & (F.col("v") <= F.col("q3") + fence)
-    return (
-        df.select(group, value.alias("v"))
-        .where(F.col("v").isNotNull())
-        .join(F.broadcast(frame), group)  # one row per plot group
-        .groupBy(group, "q1", "median", "q3")
-        .agg(
-            F.count("*").alias("n"),
-            F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-            F.count_if(~inside).alias("n_outliers"),
-        )
+    return joined.groupBy(group, "q1", "median", "q3").agg(
+        F.count("*").alias("n"),
+        F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
+        F.count_if(~inside).alias("n_outliers"),
     )
 
 
@@ -206,13 +199,11 @@ def _overlap(both: DataFrame, cells: Sequence[tuple[str, Sequence[Column]]], kin
         .groupBy("c.name", "c.value")
         .agg(F.count_if(F.col("population") == 0).alias("r"), F.count_if(F.col("population") == 1).alias("s"))
     )
-    sizes = counted.groupBy("name").agg(F.sum("r").alias("n_r"), F.sum("s").alias("n_s"))
-    gap = F.abs(F.col("r") / F.col("n_r") - F.col("s") / F.col("n_s"))
-    return (
-        counted.join(F.broadcast(sizes), "name")  # one row per combination
-        .groupBy("name")
-        .agg((F.lit(1.0) - F.lit(0.5) * F.sum(gap)).alias("score"))
-        .select(F.lit(kind).alias("kind"), "name", "score")
+    # Missing values are a category of their own, so every combination covers all rows.
+    sizes = {r["population"]: r["count"] for r in both.groupBy("population").count().collect()}
+    gap = F.abs(F.col("r") / F.lit(float(sizes.get(0, 0))) - F.col("s") / F.lit(float(sizes.get(1, 0))))
+    return counted.groupBy("name").agg((F.lit(1.0) - F.lit(0.5) * F.sum(gap)).alias("score")).select(
+        F.lit(kind).alias("kind"), "name", "score"
     )
 
 

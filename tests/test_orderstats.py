@@ -90,3 +90,15 @@ def test_dense_index_of_text(spark):
     words = spark.range(500).select(F.concat(F.lit("w"), F.col("id")).alias("k"))
     got = [r["k"] for r in O.dense_index(words, ["k"], "idx", 40).orderBy("idx").collect()]
     assert got == sorted(got) and len(got) == 500
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10**6, 50])
+def test_group_quantiles(spark, skewed, rows_per_bucket):
+    data = skewed.where("v is not null and not isnan(v)").withColumn("g", F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 7)))
+    got = {r["g"]: r for r in O.group_quantiles(data, "v", "g", {"q1": 0.25, "m": 0.5, "top": 1.0}, rows_per_bucket).collect()}
+    pdf = data.toPandas()
+    assert set(got) == set(pdf.g)
+    for g, part in pdf.groupby("g"):
+        want = np.percentile(part.v, [25, 50, 100])
+        assert got[g]["n"] == len(part)
+        assert [got[g]["q1"], got[g]["m"], got[g]["top"]] == pytest.approx(list(want), rel=1e-12)
