@@ -14,7 +14,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseMatrix
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from riskframe.operators.orderstats import auc
@@ -66,10 +66,14 @@ def train_gbt(
     return Pipeline(stages=[_assembler(features), _classifier(label, seed, params, validation_col)]).fit(_prepare(df, label))
 
 
-def predict(model: PipelineModel | CrossValidatorModel, df: DataFrame, name: str = "probability") -> DataFrame:
-    """``df`` with the probability of class 1."""
+def feature_names(model: PipelineModel) -> list[str]:
+    return list(model.stages[0].getInputCols())
+
+
+def predict(model: PipelineModel, df: DataFrame, name: str = "probability", suffix: str = "") -> DataFrame:
+    """``df`` with the probability of class 1. The features are read from ``<feature><suffix>``."""
     keep = [F.col(c) for c in df.columns]
-    out = model.transform(df)
+    out = model.stages[1].transform(_assembler([f + suffix for f in feature_names(model)]).transform(df))
     return out.select(*keep, vector_to_array(F.col("probability")).getItem(1).alias("__p")).withColumnRenamed("__p", name)
 
 
@@ -214,15 +218,16 @@ def _leaf_values(leaf: _Leaf, x: np.ndarray, out: np.ndarray) -> float:
     return base
 
 
-def tree_attributions(model: PipelineModel, df: DataFrame, name: str = "attributions", base: str = "base_value") -> DataFrame:
+def tree_attributions(
+    model: PipelineModel, df: DataFrame, name: str = "attributions", base: str = "base_value", suffix: str = ""
+) -> DataFrame:
     """``df`` with the log-odds contribution of every feature and the base value, exact along tree paths.
 
     Attributions plus base value equal the log-odds of the row. The trees are small and travel with the
     task; rows are handled in Arrow batches.
     """
-    assembler, gbt = model.stages
-    features = assembler.getInputCols()
-    leaves = tree_leaves(gbt)
+    features = feature_names(model)
+    leaves = tree_leaves(model.stages[1])
     keep = df.columns
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -235,7 +240,7 @@ def tree_attributions(model: PipelineModel, df: DataFrame, name: str = "attribut
             cells = [[{"feature": f, "value": float(v)} for f, v in zip(features, row)] for row in values]
             yield batch[keep].assign(**{name: cells, base: expected})
 
-    vectors = assembler.transform(df).withColumn("__x", vector_to_array(FEATURES)).select(*keep, "__x")
+    vectors = _assembler([f + suffix for f in features]).transform(df).withColumn("__x", vector_to_array(FEATURES)).select(*keep, "__x")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return vectors.mapInPandas(explain, f"{schema}, {name} {ATTRIBUTION}, {base} double")
 

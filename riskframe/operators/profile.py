@@ -201,7 +201,9 @@ def _overlap(both: DataFrame, cells: Sequence[tuple[str, Sequence[Column]]], kin
     )
     # Missing values are a category of their own, so every combination covers all rows.
     sizes = {r["population"]: r["count"] for r in both.groupBy("population").count().collect()}
-    gap = F.abs(F.col("r") / F.lit(float(sizes.get(0, 0))) - F.col("s") / F.lit(float(sizes.get(1, 0))))
+    if not (sizes.get(0) and sizes.get(1)):
+        return counted.select(F.lit(kind).alias("kind"), "name", F.lit(None).cast("double").alias("score")).distinct()
+    gap = F.abs(F.col("r") / F.lit(float(sizes[0])) - F.col("s") / F.lit(float(sizes[1])))
     return counted.groupBy("name").agg((F.lit(1.0) - F.lit(0.5) * F.sum(gap)).alias("score")).select(
         F.lit(kind).alias("kind"), "name", "score"
     )
@@ -258,5 +260,5 @@ def quality_score(real: DataFrame, synthetic: DataFrame, columns: Sequence[str]
         F.avg(F.when(F.col("kind") == "pair_trend", F.col("score"))).alias("pair_trends"),
     )
     both = F.array_compact(F.array("column_shapes", "pair_trends"))
-    mean = F.aggregate(both, F.lit(0.0), lambda s, x: s + x) / F.size(both)
-    return by_kind.withColumn("score", mean)
+    mean = F.aggregate(both, F.lit(0.0), lambda s, x: s + x) / F.greatest(F.size(both), F.lit(1))
+    return by_kind.withColumn("score", F.when(F.size(both) > 0, mean))

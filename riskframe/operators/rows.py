@@ -81,7 +81,7 @@ def anomaly_reasons(columns: Sequence[str]) -> Column:
     """
 
     def read(name: str) -> Column:
-        return F.col(name).cast("double") if name in columns else F.lit(0.0)
+        return F.col(name).try_cast("double") if name in columns else F.lit(0.0)
 
     age = read("age")
     rules = [

@@ -11,6 +11,7 @@ from riskframe.operators.sampling import assign_folds, hash_sample, stratified_f
 from riskframe.operators.woe import WoETransformer
 from riskframe.plans.encoding import FEATURES
 from riskframe.plans.registry import query, r6
+from riskframe.plans.scores import records
 from riskframe.plans.views import LINE_KEY, credit, early, late
 from riskframe.session import cut_lineage
 
@@ -109,3 +110,16 @@ def credit_training(spark, sf_dir):
         data, "y", LINE_KEY, "run-1", "credit_model", grid={"maxDepth": [3, 4], "stepSize": [0.1], "maxIter": [5]}, draws=2
     )
     return row.withColumn("best", F.lit(str(best)))
+
+
+@query("tree_scores")
+def tree_scores(spark, sf_dir):
+    """Every line scored by boosted trees over WoE values, with grades and the leading feature."""
+    train, _, features = _encoded(spark, sf_dir)
+    encoder = WoETransformer("y", cache_input=True).fit(credit(spark, sf_dir).select(*FEATURES, "y"))
+    scorer = scoring.Scorer(encoder, models.train_gbt(train, features, "y", ROUNDS))
+    scored = scorer.score(records(spark, sf_dir))
+    leading = F.get(F.col("shap_values"), 0)["feature"]
+    return scored.groupBy("grade", leading.alias("leading_feature")).agg(
+        F.count("*").alias("n"), F.avg("probability").alias("mean_probability")
+    )

@@ -50,7 +50,7 @@ def stream_psi(spark, sf_dir):
     reference = _reference(spark, sf_dir)
     streams.start_window_counts(_stream(spark, sf_dir), reference, path, checkpoint).awaitTermination()
     found = streams.window_psi(streams.latest_counts(spark, path), reference)
-    return found.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n", r6("psi").alias("psi"))
+    return found.select(streams.utc_day("window_start").alias("day"), "n", r6("psi").alias("psi"))
 
 
 @query("stream_alerts", f"""{_PSI_SQL} SELECT strftime(d, '%Y-%m-%d') AS day, n::BIGINT AS n, round(psi, 6) AS psi FROM psi
@@ -61,7 +61,7 @@ def stream_alerts(spark, sf_dir):
     reference = _reference(spark, sf_dir)
     streams.start_alerts(_stream(spark, sf_dir), reference, path, checkpoint, threshold=0.01).awaitTermination()
     found = spark.read.parquet(path)
-    return found.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n", r6("psi").alias("psi"))
+    return found.select(streams.utc_day("window_start").alias("day"), "n", r6("psi").alias("psi"))
 
 
 CARD = LinearScorecard(["value"], [0.01], -1.0, [0.0])

@@ -10,18 +10,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskframe.functions.binning import left_closed_bin
+from riskframe.functions.binning import left_closed_bin, quoted
 from riskframe.operators.drift import RETRAIN_ABOVE, drift_edges
 from riskframe.operators.orderstats import as_value
 from riskframe.operators.profile import alert_counters
 
 
 def with_event_time(df: DataFrame, column: str = "ts") -> DataFrame:
-    """Watermarks need a timestamp with time zone semantics; local timestamps are cast."""
-    return df.withColumn(column, F.col(column).cast("timestamp"))
+    """Watermarks need an instant; a stored local time is read as UTC, whatever the session's zone."""
+    if not isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return df.withColumn(column, F.col(column).cast("timestamp"))
+    name = quoted(column)
+    micros = (
+        f"unix_date(CAST({name} AS DATE)) * 86400000000L + (hour({name}) * 3600L + minute({name}) * 60L) * 1000000L"
+        f" + CAST(extract(SECOND FROM {name}) * 1000000 AS BIGINT)"
+    )
+    return df.withColumn(column, F.expr(f"timestamp_micros({micros})"))
+
+
+def utc_day(instant: str) -> Column:
+    """The UTC calendar day of an instant, as text."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_seconds(instant) / 86400).cast("int")).cast("string")
 
 
 @dataclass
@@ -40,6 +52,8 @@ class DriftReference:
         counted = named.groupBy(left_closed_bin(column, edges).alias("b")).count().where("b is not null").collect()
         counts = {r["b"]: r["count"] for r in counted}
         total = sum(counts.values())
+        if not total:
+            raise ValueError(f"the reference population of '{column}' is empty or constant")
         return cls(column, edges, [counts.get(b, 0) / total for b in range(len(edges) - 1)], epsilon)
 
     def with_bin(self, df: DataFrame) -> DataFrame:

@@ -158,3 +158,15 @@ def test_density_matches_a_plain_loop(training):
         grid = np.linspace(v.min(), v.max(), 50)
         want = np.exp(-0.5 * ((grid[:, None] - v) / h) ** 2).sum(axis=1) / (len(pdf) * h * math.sqrt(2 * math.pi))
         assert got[got.kind == kind].density.to_numpy() == pytest.approx(want)
+
+
+def test_tree_scorer_equals_its_parts(spark, training):
+    encoder = WoETransformer("y", exclude_cols=("key",)).fit(training)
+    model = M.train_gbt(encoder.transform(training, keep_target=True), encoder.get_selected_features(), "y", {"maxIter": 3, "maxDepth": 3})
+    records = training.drop("y").withColumn("loan_amount", F.lit(1.0))
+    rows = {r["key"]: r for r in S.Scorer(encoder, model).score(records).collect()}
+    plain = M.predict(model, encoder.transform(training, keep_cols=["key"]))
+    for r in plain.collect():
+        assert rows[r["key"]]["probability"] == r["probability"]
+    one = rows[0]
+    assert len(one["shap_values"]) == 3 and set(records.columns) < set(one.asDict())
