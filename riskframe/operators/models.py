@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +21,7 @@ from riskframe.operators.orderstats import auc
 from riskframe.operators.passes import spread_small
 from riskframe.operators.profile import f1_score
 from riskframe.operators.sampling import draw_parameters
-from riskframe.operators.scorecard import ATTRIBUTION, LinearScorecard
+from riskframe.operators.scorecard import LinearScorecard
 from riskframe.session import checkpoint_root
 
 FEATURES = "__features"
@@ -192,16 +192,13 @@ def _leaves(node, weight: float, path: dict) -> list[_Leaf]:
     return out
 
 
-def _leaf_values(leaf: _Leaf, x: np.ndarray, out: np.ndarray) -> float:
-    """Add the Shapley values of one leaf to ``out``; return its expected value.
+def _add_leaf(leaf: _Leaf, x: np.ndarray, out: np.ndarray) -> None:
+    """Add the Shapley values of one leaf to ``out``.
 
     A feature outside the coalition keeps the leaf with its training share, a feature inside with 1 or 0.
     The sum over coalitions by size is the product of (share + inside * t) over the other features.
     """
     m = len(leaf.features)
-    base = leaf.value * math.prod(leaf.share)
-    if m == 0:
-        return base
     inside = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi in zip(leaf.features, leaf.low, leaf.high)]
     weights = [math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)]
     for j, f in enumerate(leaf.features):
@@ -215,7 +212,6 @@ def _leaf_values(leaf: _Leaf, x: np.ndarray, out: np.ndarray) -> float:
             by_size = grown
         total = sum(w * c for w, c in zip(weights, by_size))
         out[:, f] += leaf.value * (inside[j] - leaf.share[j]) * total
-    return base
 
 
 def tree_attributions(
@@ -228,21 +224,25 @@ def tree_attributions(
     """
     features = feature_names(model)
     leaves = tree_leaves(model.stages[1])
-    keep = df.columns
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            x = np.stack(batch["__x"].to_numpy())
-            values = np.zeros_like(x)
-            expected = sum(_leaf_values(leaf, x, values) for leaf in leaves)
-            cells = [[{"feature": f, "value": float(v)} for f, v in zip(features, row)] for row in values]
-            yield batch[keep].assign(**{name: cells, base: expected})
-
-    vectors = _assembler([f + suffix for f in features]).transform(df).withColumn("__x", vector_to_array(FEATURES)).select(*keep, "__x")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return vectors.mapInPandas(explain, f"{schema}, {name} {ATTRIBUTION}, {base} double")
+    @F.pandas_udf("array<double>")
+    def explain(vectors: pd.Series) -> pd.Series:
+        x = np.stack(vectors.to_numpy())
+        values = np.zeros_like(x)
+        for leaf in leaves:
+            _add_leaf(leaf, x, values)
+        return pd.Series(list(values))
+
+    # Only the model's inputs travel to the batch and only numbers come back; names are added by Spark.
+    inputs = F.array(*[F.col(f + suffix).cast("double") for f in features])
+    cells = [F.struct(F.lit(f).alias("feature"), F.col("__phi")[i].alias("value")) for i, f in enumerate(features)]
+    explained = df.withColumn("__phi", explain(inputs)).withColumns({name: F.array(*cells), base: F.lit(base_value(leaves))})
+    return explained.drop("__phi")
+
+
+def base_value(leaves: Sequence[_Leaf]) -> float:
+    """The expected log-odds when no feature is known."""
+    return float(sum(leaf.value * math.prod(leaf.share) for leaf in leaves))
 
 
 def tree_leaves(gbt: GBTClassificationModel) -> list[_Leaf]:
