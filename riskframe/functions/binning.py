@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Information-value bands, lower bound inclusive.
 IV_BANDS = [
@@ -60,26 +60,27 @@ def _tree(name: str, cuts: Sequence[str], leaves: Sequence[str], test: str) -> s
 
 
 def cut_index(column: str, cuts: Sequence[float], right_closed: bool = True) -> Column:
-    """How many ``cuts`` lie below a column (or at it, when bins are left-closed); null stays null.
+    """How many ``cuts`` lie below a column (or at it, when bins are left-closed); null stays null."""
+    name, test = quoted(column), "<=" if right_closed else "<"
+    index = _tree(name, [text_literal(c) for c in cuts], [str(i) for i in range(len(cuts) + 1)], test)
+    return F.expr(f"CASE WHEN {name} IS NOT NULL THEN {index} END")
+
 
-    A balanced tree of comparisons inside generated code up to TREE_CUTS; beyond that a two-level
-    search over literal arrays, so that bucket counts can follow the size of the data.
+def add_cut_index(df: DataFrame, column: str, cuts: Sequence[float], name: str, right_closed: bool = True) -> DataFrame:
+    """:func:`cut_index` as a column ``name``, for any number of cuts.
+
+    Up to TREE_CUTS comparisons become a tree in generated code; longer lists go through MLlib's
+    Bucketizer, a binary search, so that bucket counts can follow the size of the data.
     """
-    name, test = quoted(column), "<=" if right_closed else "<"
-    texts = [text_literal(c) for c in cuts]
-    if len(cuts) <= TREE_CUTS:
-        index = _tree(name, texts, [str(i) for i in range(len(cuts) + 1)], test)
-        return F.expr(f"CASE WHEN {name} IS NOT NULL THEN {index} END")
-    below = "<" if right_closed else "<="
-    width = math.ceil(math.sqrt(len(cuts)))
-    chunks = [texts[i : i + width] for i in range(0, len(texts), width)]
-    heads = [chunk[-1] for chunk in chunks[:-1]]
-    coarse = f"size(filter(array({', '.join(heads)}), e -> e {below} {name}))"
-    if len(heads) <= TREE_CUTS:
-        coarse = _tree(name, heads, [str(i) for i in range(len(heads) + 1)], test)
-    table = ", ".join(f"array({', '.join(chunk)})" for chunk in chunks)
-    fine = f"size(filter(element_at(array({table}), {coarse} + 1), e -> e {below} {name}))"
-    return F.expr(f"CASE WHEN {name} IS NOT NULL THEN {coarse} * {width} + {fine} END")
+    if len(cuts) <= TREE_CUTS or isinstance(cuts[0], str):
+        return df.withColumn(name, cut_index(column, cuts, right_closed))
+    from pyspark.ml.feature import Bucketizer
+
+    # The Bucketizer is left-closed: the next larger double turns `above the cut` into `at or above`.
+    inner = [math.nextafter(c, math.inf) if right_closed else c for c in cuts]
+    splits = [-math.inf, *inner, math.inf]
+    found = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+    return found.withColumn(name, F.when(F.col(column).isNotNull(), F.col(name).cast("int")))
 
 
 def _within(column: str, edges: Sequence[float]) -> Column:

@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from riskframe.functions.binning import cut_index
+from riskframe.functions.binning import add_cut_index
 
 # Distinct values a single sort task is given before its range is cut further.
-DISTINCT_PER_TASK = 100_000
+DISTINCT_PER_TASK = 1_000_000
 # Rows per bucket of a running count, and the largest number of buckets written into a plan.
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 4_096
@@ -151,14 +151,15 @@ def _range_id(values: Sequence[str], ranges: Sequence[_Range], feature: int) ->
     return out
 
 
-def _long(df: DataFrame, values: Sequence[str], ranges: Sequence[_Range], extra=None) -> DataFrame:
-    """Rows of the given ranges only, as (range_id, value, ...)."""
+def _long(df: DataFrame, values: Sequence[str], ranges: Sequence[_Range], cuts: Mapping[int, Sequence[float]] | None = None) -> DataFrame:
+    """Rows of the given ranges only, as (range_id, value) and, with ``cuts``, their bucket."""
     features = sorted({r.feature for r in ranges})
     cells = []
     for f in features:
         cell = {"range_id": _range_id(values, ranges, f), "value": F.col(values[f])}
-        if extra:
-            cell["bucket"] = extra(f)
+        if cuts is not None:
+            df = add_cut_index(df, values[f], cuts[f], f"__b{f}")
+            cell["bucket"] = F.col(f"__b{f}")
         cells.append(F.struct(*[c.alias(n) for n, c in cell.items()]))
     return (
         df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("range_id").isNotNull())
@@ -166,11 +167,8 @@ def _long(df: DataFrame, values: Sequence[str], ranges: Sequence[_Range], extra=
 
 
 def _split(df, values, ranges, cuts, wanted) -> list[_Range]:
-    def bucket(feature: int) -> Column:
-        return cut_index(values[feature], cuts[feature])
-
     rows = (
-        _long(df, values, ranges, bucket)
+        _long(df, values, ranges, cuts)
         .groupBy("range_id", "bucket")
         .agg(F.count("*").alias("n"), F.approx_count_distinct("value", 0.05).alias("d"))
         .collect()
@@ -263,13 +261,8 @@ def group_quantiles(
     """
     summary = sketch(df, [F.col(value)])
     cuts = _bucket_cuts(df, [F.col(value)], summary, rows_per_bucket)[0]
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .select(group, F.col(value).alias("__x"))
-        .withColumn("__bucket", cut_index("__x", cuts))
-        .groupBy(group, "__bucket", "__x")
-        .agg(F.count("*").alias("__n"))
-    )
+    slim = df.where(F.col(value).isNotNull()).select(group, F.col(value).alias("__x"))
+    counts = add_cut_index(slim, "__x", cuts, "__bucket").groupBy(group, "__bucket", "__x").agg(F.count("*").alias("__n"))
     part = Window.partitionBy(group, "__bucket")
     upto = part.orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
     local = counts.withColumn("__upto", F.sum("__n").over(upto))
@@ -322,9 +315,10 @@ def running_counts(
         sketches = sketch(df, values)
     cuts = _bucket_cuts(df, values, sketches, rows_per_bucket)
     df, values = named_values(df, values, [m.alias(n) for n, m in measures.items()])
+    for i, v in enumerate(values):
+        df = add_cut_index(df, v, cuts[i], f"__b{i}")
     cells = [
-        F.struct(F.lit(i).alias("feature_id"), cut_index(v, cuts[i]).alias("bucket"), F.col(v).alias("value"))
-        for i, v in enumerate(values)
+        F.struct(F.lit(i).alias("feature_id"), F.col(f"__b{i}").alias("bucket"), F.col(v).alias("value")) for i, v in enumerate(values)
     ]
     per_value = (
         df.select(*names, F.explode(F.array(*cells)).alias("cell"))
@@ -384,7 +378,8 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx", rows_per
     else:
         first = as_value(order[0])
         cuts = _bucket_cuts(df, [first], sketch(df, [first]), rows_per_bucket)[0]
-    bucketed = df.withColumn("__first", first).withColumn("__bucket", F.coalesce(cut_index("__first", cuts), F.lit(-1))).drop("__first")
+    bucketed = add_cut_index(df.withColumn("__first", first), "__first", cuts, "__bucket").drop("__first")
+    bucketed = bucketed.withColumn("__bucket", F.coalesce("__bucket", F.lit(-1)))
     window = Window.partitionBy("__bucket").orderBy(*order)
     numbered = bucketed.withColumn(name, F.row_number().over(window).cast("long") - 1)
     if not cuts:

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 # Inputs below this planned size may sit in fewer file splits than there are cores.
-SMALL_BYTES = 256 * 1024 * 1024
+SMALL_BYTES = 32 * 1024 * 1024
 
 
 def spread_small(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -39,40 +40,57 @@ def allocate(counts: Mapping, total: int) -> dict:
 
 
 def _first_rows(
-    df: DataFrame, label: str, u: Column, key: Column, plans: Sequence[Mapping], name: Sequence[str], cache_input: bool = False
+    df: DataFrame, label: str, u: Column, key: Column, plans: Sequence[Mapping], name: Sequence[str], counts: Mapping, cache_input: bool = False
 ) -> DataFrame:
     """``df`` with one flag per plan: true for the ``plan[c]`` rows of each class ``c`` that come first by (u, key)."""
     hashed = df.withColumns({"__u": u, "__key": key})
     with several_passes(hashed.select(label, "__u", "__key"), cache_input) as slim:
-        tests = _first_tests(slim, label, plans)
+        tests = _first_tests(slim, label, plans, counts)
     return hashed.withColumns(dict(zip(name, tests))).drop("__u", "__key")
 
 
-def _first_tests(df: DataFrame, label: str, plans: Sequence[Mapping]) -> list[Column]:
-    u, key = F.col("__u"), F.col("__key")
-    classes = sorted({c for p in plans for c in p if p[c] > 0}, key=str)
-    values = [F.when(F.col(label) == c, u) for c in classes]
-    ranks = [sorted({p[c] - 1 for p in plans if p.get(c, 0) > 0}) for c in classes]
-    found = select_ranks(df, values, ranks)
-    cuts = [(c, r + 1, found[i][r]) for i, c in enumerate(classes) for r in ranks[i]]
-    # Rows that share the hash of a cut are next to none for a unique key.
+@dataclass
+class _Cut:
+    """The ``wanted`` first rows of a class; the last of them is sought in [low, high]."""
+
+    label: object
+    wanted: int
+    low: float = 0.0
+    high: float = 1.0
+    before: int = 0
+
+
+def _first_tests(df: DataFrame, label: str, plans: Sequence[Mapping], counts: Mapping) -> list[Column]:
+    """The hash is uniform, so the cut lies next to its share: only a narrow strip around it is looked at.
+
+    A strip that misses the cut (a hash that is not uniform) is replaced by the whole class.
+    """
+    pairs = sorted({(c, p[c]) for p in plans for c in p if p[c] > 0}, key=str)
+    cuts = []
+    for c, wanted in pairs:
+        share = wanted / counts[c]
+        half = 8 * math.sqrt(share * (1 - share) / counts[c]) + 20 / counts[c]
+        cuts.append(_Cut(c, wanted, max(0.0, share - half), min(1.0, share + half)))
+    strip = F.lit(False)
     aggs = []
-    for j, (c, _, cut) in enumerate(cuts):
-        is_class = F.col(label) == c
-        tied = is_class & (u == F.lit(cut))
-        aggs += [
-            F.count_if(is_class & (u < F.lit(cut))).alias(f"below{j}"),
-            F.count_if(tied).alias(f"tied{j}"),
-            F.max(F.when(tied, key)).alias(f"last{j}"),
-        ]
-    row = df.agg(*aggs).first() if aggs else None
+    for j, cut in enumerate(cuts):
+        is_class, u = F.col(label) == cut.label, F.col("__u")
+        inside = is_class & (u >= F.lit(cut.low)) & (u <= F.lit(cut.high))
+        strip = strip | inside
+        aggs += [F.count_if(is_class & (u < F.lit(cut.low))).alias(f"before{j}"), F.count_if(inside).alias(f"inside{j}")]
+    row = df.agg(*aggs).first()
+    near, missed = [], []
+    for j, cut in enumerate(cuts):
+        if row[f"before{j}"] < cut.wanted <= row[f"before{j}"] + row[f"inside{j}"]:
+            cut.before = row[f"before{j}"]
+            near.append(cut)
+        else:
+            missed.append(_Cut(cut.label, cut.wanted))
     tests = {}
-    for j, (c, wanted, cut) in enumerate(cuts):
-        is_class, last = F.col(label) == c, row[f"last{j}"]
-        if row[f"below{j}"] + row[f"tied{j}"] > wanted:
-            tied = df.where(is_class & (u == F.lit(cut))).select(key.alias("k")).orderBy("k").limit(wanted - row[f"below{j}"])
-            last = tied.agg(F.max("k")).first()[0]
-        tests[c, wanted] = is_class & ((u < F.lit(cut)) | ((u == F.lit(cut)) & (key <= F.lit(last))))
+    if near:
+        tests |= _exact_tests(cut_lineage(df.where(strip)), label, near)
+    if missed:
+        tests |= _exact_tests(df, label, missed)
     out = []
     for p in plans:
         test = F.lit(False)
@@ -83,6 +101,32 @@ def _first_tests(df: DataFrame, label: str, plans: Sequence[Mapping]) -> list[Co
     return out
 
 
+def _exact_tests(df: DataFrame, label: str, cuts: Sequence[_Cut]) -> dict:
+    u, key = F.col("__u"), F.col("__key")
+    inside = [(F.col(label) == c.label) & (u >= F.lit(c.low)) & (u <= F.lit(c.high)) for c in cuts]
+    ranks = [[c.wanted - c.before - 1] for c in cuts]
+    found = [f[r[0]] for f, r in zip(select_ranks(df, [F.when(i, u) for i in inside], ranks), ranks)]
+    # Rows that share the hash of a cut are next to none for a unique key.
+    aggs = []
+    for j, at in enumerate(found):
+        tied = inside[j] & (u == F.lit(at))
+        aggs += [
+            F.count_if(inside[j] & (u < F.lit(at))).alias(f"below{j}"),
+            F.count_if(tied).alias(f"tied{j}"),
+            F.max(F.when(tied, key)).alias(f"last{j}"),
+        ]
+    row = df.agg(*aggs).first()
+    tests = {}
+    for j, (c, at) in enumerate(zip(cuts, found)):
+        rest, last = c.wanted - c.before - row[f"below{j}"], row[f"last{j}"]
+        if row[f"tied{j}"] > rest:
+            tied = df.where(inside[j] & (u == F.lit(at))).select(key.alias("k")).orderBy("k").limit(rest)
+            last = tied.agg(F.max("k")).first()[0]
+        first = (u < F.lit(at)) | ((u == F.lit(at)) & (key <= F.lit(last)))
+        tests[c.label, c.wanted] = (F.col(label) == c.label) & first
+    return tests
+
+
 def stratified_flag(
     df: DataFrame, label: str, key: Sequence[str], test_share: float = 0.3, seed: int = 42, cache_input: bool = False
 ) -> DataFrame:
@@ -96,7 +140,7 @@ def stratified_flag(
     size = sum(counts.values())
     train = allocate(counts, size - math.ceil(test_share * size))
     test = {c: n - train[c] for c, n in counts.items()}
-    return _first_rows(df, label, uniform(seed, *key), _key_text(key), [test], ["is_test"], cache_input)
+    return _first_rows(df, label, uniform(seed, *key), _key_text(key), [test], ["is_test"], counts, cache_input)
 
 
 def stratified_split(
@@ -119,7 +163,7 @@ def assign_folds(
     counts = class_counts(df, label)
     starts = [{c: _fold_start(n, folds, f) for c, n in counts.items()} for f in range(1, folds)]
     flags = [f"__before{f}" for f in range(1, folds)]
-    flagged = _first_rows(df, label, uniform(seed, *key), _key_text(key), starts, flags, cache_input)
+    flagged = _first_rows(df, label, uniform(seed, *key), _key_text(key), starts, flags, counts, cache_input)
     fold = F.lit(0)
     for flag in flags:
         fold = fold + F.when(F.col(flag), F.lit(0)).otherwise(F.lit(1))

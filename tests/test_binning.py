@@ -30,7 +30,7 @@ def test_left_closed_counts_like_a_histogram(spark):
 def test_wide_cut_lists_agree_with_the_tree(spark):
     cuts = [float(i) for i in range(0, 500, 2)]
     df = spark.range(-3, 510).select((F.col("id") / 1.0).alias("v"))
-    wide = df.select("v", binning.cut_index("v", cuts, True).alias("r"), binning.cut_index("v", cuts, False).alias("l"))
+    wide = binning.add_cut_index(binning.add_cut_index(df, "v", cuts, "r", True), "v", cuts, "l", False)
     for row in wide.collect():
         assert row["r"] == sum(c < row["v"] for c in cuts)
         assert row["l"] == sum(c <= row["v"] for c in cuts)

@@ -39,7 +39,7 @@ def test_split_ignores_partitioning(labelled):
 
 def test_equal_hashes_are_cut_by_key(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(40)], "key long, y int")
-    flagged = S._first_rows(df, "y", F.lit(0.5), F.lpad(F.col("key").cast("string"), 3, "0"), [{0: 7, 1: 3}], ["first"])
+    flagged = S._first_rows(df, "y", F.lit(0.5), F.lpad(F.col("key").cast("string"), 3, "0"), [{0: 7, 1: 3}], ["first"], {0: 20, 1: 20})
     assert {r["key"] for r in flagged.where("first").collect()} == {0, 2, 4, 6, 8, 10, 12, 1, 3, 5}
 
 
