@@ -44,7 +44,10 @@ def _first_rows(
 ) -> DataFrame:
     """``df`` with one flag per plan: true for the ``plan[c]`` rows of each class ``c`` that come first by (u, key)."""
     hashed = df.withColumns({"__u": u, "__key": key})
-    with several_passes(hashed.select(label, "__u", "__key"), cache_input) as slim:
+    # A filter on the hash would be pushed below it and repeat it for every comparison; the generator
+    # keeps it computed once per row.
+    cell = F.explode(F.array(F.struct(label, "__u", "__key"))).alias("__r")
+    with several_passes(hashed.select(cell).select("__r.*"), cache_input) as slim:
         tests = _first_tests(slim, label, plans, counts)
     return hashed.withColumns(dict(zip(name, tests))).drop("__u", "__key")
 
