@@ -123,23 +123,24 @@ def selected_features(spark, sf_dir):
     return summary.select("feature", r6("iv").alias("iv"), "iv_rank")
 
 
-_TRANSFORM_SQL = (
-    sql_evidence(f"{CREDIT_SQL}, train AS (SELECT * FROM credit WHERE {EARLY_SQL})", "train", ["l_quantity"], ["l_returnflag", "l_discount"])
-    + f"""
-SELECT {', '.join('c.' + k for k in LINE_KEY)}, c.y,
-  round(coalesce(f.woe, 0), 6) + 0 AS l_returnflag, round(coalesce(q.woe, 0), 6) + 0 AS l_quantity,
-  round(coalesce(d.woe, 0), 6) + 0 AS l_discount
-FROM credit c
-LEFT JOIN evidence f ON f.feature = 'l_returnflag' AND f.category = c.l_returnflag
-LEFT JOIN evidence d ON d.feature = 'l_discount' AND d.category = c.l_discount::VARCHAR
-LEFT JOIN (SELECT * FROM evidence WHERE feature = 'l_quantity') q ON {sql_in_bin('c.l_quantity', 'q')}
-WHERE {LATE_SQL}"""
-)
+def _transform_sql() -> str:
+    """Every feature: bins by range, categories by equality; the names of the encoded columns are the features'."""
+    columns, joins = [], []
+    for f in FEATURES:
+        columns.append(f"round(coalesce(w_{f}.woe, 0), 6) + 0 AS {f}")
+        match = sql_in_bin(f"c.{f}", f"w_{f}") if f in CREDIT_NUMERIC else f"w_{f}.category = c.{f}::VARCHAR"
+        joins.append(f"LEFT JOIN (SELECT * FROM evidence WHERE feature = '{f}') w_{f} ON {match}")
+    head = sql_evidence(f"{CREDIT_SQL}, train AS (SELECT * FROM credit WHERE {EARLY_SQL})", "train", CREDIT_NUMERIC, CREDIT_CATEGORIES)
+    return f"{head} SELECT {', '.join('c.' + k for k in LINE_KEY)}, c.y, {', '.join(columns)} FROM credit c {' '.join(joins)} WHERE {LATE_SQL}"
+
+
+_TRANSFORM_SQL = _transform_sql()
 
 
 def _encoder(spark, sf_dir) -> WoETransformer:
+    """All features, whatever their information value, so that the columns do not depend on the data."""
     train = early(credit(spark, sf_dir)).select(*FEATURES, "y")
-    return WoETransformer("y", iv_threshold=0.02, cache_input=True).fit(train)
+    return WoETransformer("y", iv_threshold=0.0, cache_input=True).fit(train)
 
 
 def _apply(fitted, spark, sf_dir):

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.functions import binning, risk
+from riskframe.functions import binning
 from riskframe.operators import scoring
 from riskframe.operators.profile import attribution_summary
 from riskframe.operators.scorecard import LinearScorecard
 from riskframe.operators.woe import WoETransformer
-from riskframe.plans.encoding import FEATURES, sql_evidence, sql_in_bin
+from riskframe.plans.encoding import sql_evidence, sql_in_bin
 from riskframe.plans.registry import big, query, r6, round_columns, table
-from riskframe.plans.views import CREDIT_SQL, EMPLOYER_RISK_SQL, LINE_KEY, PD_SQL, credit, sql_uniform, with_pd
+from riskframe.plans.views import CREDIT_SQL, LINE_KEY, PD_SQL, credit, sql_uniform, with_pd
 from riskframe.session import scratch_path
 from riskframe.sources import tables
 
@@ -29,8 +29,9 @@ def attributed(spark, sf_dir):
 
 _MEANS_SQL = "m AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in ATTR_FEATURES) + " FROM lineitem)"
 _VALUE_SQL = {c: f"({w}::DOUBLE * ({c} - m_{c}))" for c, w in zip(ATTR_FEATURES, ATTR_COEFFICIENTS)}
+_ROWS_SQL = "li AS (SELECT *, row_number() OVER () AS rid FROM lineitem)"
 _LONG_SQL = " UNION ALL ".join(
-    f"SELECT {_KEYS}, {i} AS i, '{c}' AS feature, {v} AS value FROM lineitem, m" for i, (c, v) in enumerate(_VALUE_SQL.items())
+    f"SELECT {_KEYS}, rid, {i} AS i, '{c}' AS feature, {v} AS value FROM li, m" for i, (c, v) in enumerate(_VALUE_SQL.items())
 )
 
 
@@ -42,10 +43,10 @@ def linear_attribution(spark, sf_dir):
     return attributed(spark, sf_dir).select(*LINE_KEY, *cells, r6("probability").alias("probability"))
 
 
-@query("top_attribution", f"""WITH {_MEANS_SQL}, long AS ({_LONG_SQL}),
-r AS (SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY abs(value) DESC, i) AS k FROM long)
+@query("top_attribution", f"""WITH {_MEANS_SQL}, {_ROWS_SQL}, long AS ({_LONG_SQL}),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY abs(value) DESC, i) AS k FROM long)
 SELECT {_KEYS}, max(feature) FILTER (WHERE k = 1) AS first, max(feature) FILTER (WHERE k = 2) AS second,
-  round(max(value) FILTER (WHERE k = 1), 6) + 0 AS first_value FROM r GROUP BY {_KEYS}""")
+  round(max(value) FILTER (WHERE k = 1), 6) + 0 AS first_value FROM r GROUP BY rid, {_KEYS}""")
 def top_attribution(spark, sf_dir):
     top = scoring.top_attributions(F.col("attributions"), 2)
     ranked = attributed(spark, sf_dir).select(*LINE_KEY, top.alias("t"))
@@ -54,7 +55,7 @@ def top_attribution(spark, sf_dir):
     )
 
 
-@query("attribution_summary", f"""WITH {_MEANS_SQL}, long AS ({_LONG_SQL})
+@query("attribution_summary", f"""WITH {_MEANS_SQL}, {_ROWS_SQL}, long AS ({_LONG_SQL})
 SELECT feature, count(*) AS n, round(avg(abs(value)), 6) AS mean_abs, round(avg(value), 6) + 0 AS mean, round(min(value), 6) AS min, round(max(value), 6) AS max
 FROM long GROUP BY feature""")
 def attribution_table(spark, sf_dir):
@@ -67,8 +68,8 @@ RECORD_COLUMNS = ["l_returnflag", "l_quantity", "l_discount"]
 
 
 def scorer(spark, sf_dir) -> scoring.Scorer:
-    """Encoder fitted on the credit view, scorecard with weight -1 per WoE."""
-    fitted = WoETransformer("y", cache_input=True).fit(credit(spark, sf_dir).select(*FEATURES, "y"))
+    """Encoder fitted on the record's credit fields, scorecard with weight -1 per WoE."""
+    fitted = WoETransformer("y", iv_threshold=0.0, cache_input=True).fit(credit(spark, sf_dir).select(*RECORD_COLUMNS, "y"))
     names = fitted.get_selected_features()
     return scoring.Scorer(fitted, LinearScorecard(names, [-1.0] * len(names), -1.1, [0.0] * len(names)))
 

@@ -92,7 +92,7 @@ SELECT event_id, round(p, 6) AS probability, CASE WHEN p < 0.25 THEN 'A' WHEN p
 def stream_scores(spark, sf_dir):
     """Records of a stream through the scorer of the batch."""
     train = _event_target(table(spark, sf_dir, "events"))
-    encoder = WoETransformer("y", exclude_cols=("event_id",), cache_input=True).fit(train)
+    encoder = WoETransformer("y", iv_threshold=0.0, exclude_cols=("event_id",), cache_input=True).fit(train)
     names = encoder.get_selected_features()
     scorer = Scorer(encoder, LinearScorecard(names, [-0.5] * len(names), -1.0, [0.0] * len(names)))
     path, checkpoint = _paths(spark, "stream_scores")
