@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskframe.operators.neighbors import calculate_dcr
 from riskframe.operators.orderstats import inverted_ks, mean_inverted_ks
 from riskframe.operators.profile import quality_report
-from riskframe.plans.registry import big, query, r6, round_columns, table
+from riskframe.plans.registry import query, round_columns, table
 from riskframe.plans.views import EARLY_SQL, LATE_SQL, early, late
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import profile
 from riskframe.operators.orderstats import auc, roc_points
 from riskframe.operators.scorecard import LinearScorecard
-from riskframe.plans.registry import big, query, r6, round_columns, table
+from riskframe.plans.registry import big, query, round_columns, table
 from riskframe.plans.views import CREDIT_SQL, credit
 
 
