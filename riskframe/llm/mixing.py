@@ -22,6 +22,8 @@ LIMIT = 2
 BLOCK_WORDS = 64
 SHARD_SLOTS = 16_384
 ROUNDS = 12
+#: Slots that one task makes, on average.
+TASK_SLOTS = 200_000
 #: Rows whose running sums one task computes, on average.
 BUCKET_ROWS = 20_000
 #: Cells of the inverse distribution: a slot's uniform meets the sources of its cell.
@@ -134,6 +136,8 @@ def plan_slots(sources: DataFrame, block_words: int, shard_slots: int, seed: int
     slots = (
         numbered.unionByName(left)
         .filter(F.col("a") < F.col("b"))
+        # A few rows that become many: by a number, so that they aren't put together in one task for their size.
+        .repartition(max(spark.sparkContext.defaultParallelism, -(-n_slots // TASK_SLOTS)), "nth", "a")
         .withColumn("slot", F.explode(F.sequence("a", F.col("b") - 1)))
         .withColumn("shard", F.coalesce("shard", F.pmod(F.xxhash64(F.lit(seed), F.lit("left"), "nth", "slot"), F.lit(shards))))
     )

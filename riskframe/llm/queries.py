@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm import mixing, packing, rollups, token_store
+from riskframe.llm import embed_dedup, mixing, packing, rollups, simhash, token_store
 from riskframe.llm.common import stored
 from riskframe.session import scratch_path
 
@@ -25,6 +25,14 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after two batches: all documents come in, then exact copies go (the smallest doc_id of a text stays).
 
@@ -49,6 +57,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_token_store": op3_token_store,
+    "op5_simhash": op5_simhash,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_mixing": op10_mixing,
 }
