@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm import embed_dedup, mixing, packing, rollups, simhash, token_store
+from riskframe.llm import embed_dedup, mixing, packing, repeats, rollups, simhash, token_store
 from riskframe.llm.common import stored
 from riskframe.session import scratch_path
 
@@ -33,6 +33,10 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_documents(spark, sf_dir)).drop("uid")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after two batches: all documents come in, then exact copies go (the smallest doc_id of a text stays).
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_store": op3_token_store,
     "op5_simhash": op5_simhash,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_suffix_array": op8_suffix_array,
     "op9_token_counts": op9_token_counts,
     "op10_mixing": op10_mixing,
 }
