@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm import embed_dedup, mixing, packing, repeats, rollups, simhash, token_store
+from riskframe.llm import embed_dedup, html_text, mixing, packing, repeats, rollups, simhash, token_store, toxicity
 from riskframe.llm.common import stored
 from riskframe.session import scratch_path
 
@@ -25,10 +25,18 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -61,7 +69,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_token_store": op3_token_store,
+    "op4_html_text": op4_html_text,
     "op5_simhash": op5_simhash,
+    "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_suffix_array": op8_suffix_array,
     "op9_token_counts": op9_token_counts,
