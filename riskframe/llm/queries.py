@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm import embed_dedup, html_text, mixing, packing, repeats, rollups, simhash, token_store, toxicity
+from riskframe.llm import ann, embed_dedup, html_text, mixing, packing, repeats, rollups, simhash, token_store, toxicity
 from riskframe.llm.common import stored
 from riskframe.session import scratch_path
 
@@ -19,6 +19,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_shards")
     token_store.write_shards(_documents(spark, sf_dir), path)
@@ -68,6 +72,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_ann": op2_ann,
     "op3_token_store": op3_token_store,
     "op4_html_text": op4_html_text,
     "op5_simhash": op5_simhash,

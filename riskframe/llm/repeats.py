@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskframe.llm.common import stored
 from riskframe.llm.tokens import slices
@@ -418,7 +418,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     return refined.filter("kind = 1").select("doc_id", "uid", "a", "b").unionByName(whole).unionByName(single)
 
 
-def _remove(with_text: bool):
+def _remove(with_text: bool, with_row: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
@@ -454,24 +454,31 @@ def _remove(with_text: bool):
                 if with_text:
                     columns.append(pa.array(kept_texts, pa.string()))
                     names_.append("kept_text")
+                if with_row:
+                    columns.append(rows.column("row"))
+                    names_.append("row")
                 yield pa.RecordBatch.from_arrays(columns, names=names_)
 
     return work
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """(doc_id, uid, n_bytes, n_removed, n_spans, kept_sha256[, kept_text]), one row per row of ``docs`` (doc_id, text).
+def remove_repeats(docs: DataFrame, with_text: bool = False, with_row: bool = False) -> DataFrame:
+    """(doc_id, uid, n_bytes, n_removed, n_spans, kept_sha256[, kept_text][, row]), one row per row of ``docs`` (doc_id, text).
 
     Every byte that lies in a 200-byte string which starts anywhere else too, in the same document or another, goes;
     strings are judged on the input. Null and empty texts and texts under 200 bytes lose nothing. Repeated rows are repeats of each
     other and lose all windows, the first one too. Null doc_ids are values like any other; an empty table gives no row.
+    ``row`` holds all columns but the text, whatever they are called.
     """
-    schema = "doc_id long, uid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    intervals = (
-        repeated_bytes(docs).groupBy("doc_id", "uid").agg(F.collect_set(F.struct("a", "b")).alias("intervals"))
-    )
+    found = [T.StructField(n, T.LongType()) for n in ("doc_id", "uid", "n_bytes", "n_removed", "n_spans")]
+    found += [T.StructField(n, T.StringType()) for n in ("kept_sha256", *(["kept_text"] if with_text else []))]
+    left = _identified(docs)
+    if with_row:
+        rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+        left = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("uid"), rest.alias("row"))
+        found.append(left.schema["row"])
+    intervals = repeated_bytes(docs).groupBy("doc_id", "uid").agg(F.collect_set(F.struct("a", "b")).alias("intervals"))
     same = F.expr("t.doc_id <=> l.doc_id and t.uid = l.uid")
-    joined = _identified(docs).alias("t").join(intervals.hint("shuffle_hash").alias("l"), same, "left")
-    return joined.select("t.doc_id", "t.uid", "text", "intervals").mapInArrow(
-        _remove(with_text), schema + (", kept_text string" if with_text else "")
-    )
+    joined = left.alias("t").join(intervals.hint("shuffle_hash").alias("l"), same, "left")
+    columns = ["t.doc_id", "t.uid", "text", "intervals", *(["row"] if with_row else [])]
+    return joined.select(*columns).mapInArrow(_remove(with_text, with_row), T.StructType(found))

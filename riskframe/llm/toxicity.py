@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskframe.llm.common import stored
 from riskframe.llm.tokens import slices
@@ -247,19 +247,24 @@ def learn_lexicon(train: DataFrame) -> Trie:
     return Trie(words, shortest, frozenset(r.term for r in common))
 
 
-def with_features(docs: DataFrame, trie: Trie, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, open, misspelled, quoted, extra int columns) of every row."""
-    schema = "doc_id long, open long, misspelled long, quoted long" + "".join(f", {c} int" for c in extra)
+def with_features(rows: DataFrame, trie: Trie) -> DataFrame:
+    """(row, open, misspelled, quoted) of rows whose only column ``row`` is a struct with a field text.
+
+    A struct carries whatever a table holds besides, whatever it is called.
+    """
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(n, T.LongType()) for n in ("open", "misspelled", "quoted"))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for batch in batches:
-            for rows in slices(batch, "text"):
-                hits = features(rows.column("text"), trie, known)
-                columns = [rows.column("doc_id"), *(pa.array(hits[:, k].copy()) for k in range(3)), *(rows.column(c) for c in extra)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "open", "misspelled", "quoted", *extra])
+            row = batch.column("row")
+            texts = pc.struct_field(row, "text")
+            for part in slices(pa.RecordBatch.from_arrays([texts, row], names=["text", "row"]), "text"):
+                hits = features(part.column("text"), trie, known)
+                columns = [part.column("row"), *(pa.array(hits[:, k].copy()) for k in range(3))]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "open", "misspelled", "quoted"])
 
-    return docs.select("doc_id", "text", *extra).mapInArrow(work, schema)
+    return rows.mapInArrow(work, schema)
 
 
 def fit_weights(hits: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -279,27 +284,43 @@ def fit_weights(hits: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return w
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted, open, misspelled, quoted), one row per row of ``docs`` (doc_id, text).
-
-    ``labels`` (doc_id, toxic) teach only where they aren't held out; rows with a null label or doc_id teach nothing, of several
-    labels of a doc_id the highest counts. Null and empty texts have no hits and the score of a text without any. Repeated rows score
-    alike; without labels or lexicon the prior's constant is the score of every text. An empty table gives no row.
-    """
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[Trie, np.ndarray]:
+    """Lexicon and weights from the labelled rows that aren't held out."""
     train = labelled(docs, labels)
     trie = learn_lexicon(train)
     sample = (
-        with_features(train, trie, ("toxic",))
-        .orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id").limit(FIT_ROWS)
-        .select("open", "misspelled", "quoted", "toxic").toPandas()
+        with_features(train.select(F.struct("doc_id", "text", "toxic").alias("row")), trie)
+        .orderBy(F.xxhash64(F.lit(7), "row.doc_id"), "row.doc_id").limit(FIT_ROWS)
+        .select("open", "misspelled", "quoted", "row.toxic").toPandas()
     )
     table = sample.to_numpy(dtype=np.float64).reshape(-1, 4)
-    weights = fit_weights(table[:, :3], table[:, 3])
+    return trie, fit_weights(table[:, :3], table[:, 3])
+
+
+def scored(rows: DataFrame, model: tuple[Trie, np.ndarray]) -> DataFrame:
+    """``rows`` (row: struct with text) with hits and score."""
+    trie, weights = model
     z = F.lit(float(weights[3]))
     for name, w in zip(("open", "misspelled", "quoted"), weights):
         z = z + F.log1p(F.col(name)) * float(w)
-    scored = with_features(docs, trie).withColumn("score", 1 / (1 + F.exp(-z)))
-    return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    return with_features(rows, trie).withColumn("score", 1 / (1 + F.exp(-z)))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted, open, misspelled, quoted), one row per row of ``docs`` (doc_id, text).
+
+    ``labels`` (doc_id, toxic) teach only where they aren't held out; rows with a null label or doc_id teach nothing, of several
+    labels of a doc_id the highest counts. Null and empty texts have no hits and the score of a text without any. Repeated rows score
+    alike; without labels or lexicon the prior's constant is the score of every text. An empty table gives no row.
+    """
+    rows = docs.select(F.struct("doc_id", "text").alias("row"))
+    return scored(rows, learn(docs, labels)).select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "open", "misspelled", "quoted",
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all their columns, whose score is below 0.5."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return scored(whole, learn(docs, labels)).filter("score < 0.5").select("row.*")
