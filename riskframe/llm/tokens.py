@@ -15,9 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept by a worker: about 40 bytes each.
-MAX_PIECES = 1_500_000
+MAX_PIECES = 800_000
 #: Texts longer than this are still encoded whole, but in a batch of their own.
-BATCH_CHARS = 16_000_000
+BATCH_CHARS = 8_000_000
 #: Stops behind an ASCII letter are a token of their own, so a space between them changes no id.
 STOPS = r"([A-Za-z])([.,]+)(\s)"
 
@@ -104,3 +104,5 @@ def slices(batch: pa.RecordBatch, column: str, chars: int = BATCH_CHARS):
     cuts = np.flatnonzero(np.diff(group)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         yield batch.slice(a, b - a)
+    # Workers live on for other stages; what Arrow has set aside here would add up.
+    pa.default_memory_pool().release_unused()

@@ -38,6 +38,9 @@ MAX_TERMS = 5_000
 FIT_ROWS = 20_000
 #: Words left and right of a hit that decide whether it is quoted.
 CONTEXT = 6
+#: Words whose kinds a task remembers, and text bytes it works on at once.
+KNOWN_WORDS = 250_000
+CHUNK_BYTES = 3_000_000
 #: Labels that are broadcast at most; beyond, texts and labels meet in a shuffle.
 BROADCAST_LABELS = 2_000_000
 #: Weights of log(1 + open, misspelled, quoted hits) and of the constant, towards which the fit is drawn.
@@ -147,7 +150,7 @@ def features(texts: pa.Array, trie: Trie, known: dict[str, int]) -> np.ndarray:
     flat = pc.replace_substring(pc.replace_substring(pc.replace_substring(texts, "\n", " "), "\t", " "), "\r", " ")
     lists = pc.split_pattern(flat, " ")
     coded = lists.flatten().dictionary_encode()
-    if len(known) > 1_000_000:
+    if len(known) > KNOWN_WORDS:
         known.clear()
     kinds = np.empty(len(coded.dictionary), np.int8)
     for k, piece in enumerate(coded.dictionary.to_pylist()):
@@ -259,7 +262,7 @@ def with_features(rows: DataFrame, trie: Trie) -> DataFrame:
         for batch in batches:
             row = batch.column("row")
             texts = pc.struct_field(row, "text")
-            for part in slices(pa.RecordBatch.from_arrays([texts, row], names=["text", "row"]), "text"):
+            for part in slices(pa.RecordBatch.from_arrays([texts, row], names=["text", "row"]), "text", CHUNK_BYTES):
                 hits = features(part.column("text"), trie, known)
                 columns = [part.column("row"), *(pa.array(hits[:, k].copy()) for k in range(3))]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "open", "misspelled", "quoted"])
