@@ -48,8 +48,8 @@ def lookup(
         keyed = keyed.withColumns({"__is_hot": F.lit(None).cast("boolean"), **{n: F.lit(None) for n in hot_names.values()}})
     plain = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith(("map", "variant"))]
     spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*plain), F.lit(SPREAD)).cast("string"))
-    cold_key = F.when(F.col("__is_hot").isNull() & F.col("__key").isNotNull(), F.col("__key").cast("string")).otherwise(spread)
-    cold = table.select(F.col(table_key).cast("string").alias("__cold"), *[F.col(v).alias(f"__c_{v}") for v in values])
+    cold_key = F.when(F.col("__is_hot").isNull() & F.col("__key").isNotNull(), F.concat(F.lit("k"), F.col("__key").cast("string"))).otherwise(spread)
+    cold = table.select(F.concat(F.lit("k"), F.col(table_key).cast("string")).alias("__cold"), *[F.col(v).alias(f"__c_{v}") for v in values])
     joined = keyed.withColumn("__cold", cold_key).join(cold, "__cold", "left")
     return joined.select(
         *[F.col(c) for c in df.columns],

@@ -20,6 +20,8 @@ GRID_POINTS = 200
 MAX_DENSITIES = 1_000
 # Equal ranges a numeric column is cut into when it is compared with a category column.
 PAIR_BINS = 10
+# Pairs that one aggregation works on: generated code has a size limit.
+PAIR_GROUP = 48
 LOG_CLIP = 2.0**-52
 
 
@@ -27,7 +29,7 @@ LOG_CLIP = 2.0**-52
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """``(label, n, pct)`` per class, in class order."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # over the few grouped rows
+    total = F.lit(counts.agg(F.sum("n")).first()[0])
     return counts.select(label, "n", (F.col("n") / total * 100.0).alias("pct")).orderBy(label)
 
 
@@ -226,9 +228,8 @@ def quality_report(real: DataFrame, synthetic: DataFrame, columns: Sequence[str]
         parts.append(shapes.select(F.lit("column_shape").alias("kind"), F.col("feature").alias("name"), F.col("inverted_ks").alias("score")))
     if categories:
         parts.append(_overlap(both, [(c, [_text(c)]) for c in categories], "column_shape"))
-    pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]
-    if pairs:
-        corr = both.groupBy("population").agg(*[F.corr(as_value(a), as_value(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    for pairs in _groups([(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]):
+        corr = both.groupBy("population").agg(*[_correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
         gaps = corr.agg(*[
             (F.lit(1.0) - F.abs(F.max(F.when(F.col("population") == 0, F.col(f"c{i}"))) - F.max(F.when(F.col("population") == 1, F.col(f"c{i}")))) / 2.0).alias(f"c{i}")
             for i in range(len(pairs))
@@ -245,14 +246,27 @@ def quality_report(real: DataFrame, synthetic: DataFrame, columns: Sequence[str]
                     coded[c] = F.coalesce(binned.cast("string"), F.lit("\u0000null"))
         mixed = [(a, b) for i, a in enumerate(categories) for b in categories[i + 1 :]]
         mixed += [(a, b) for a in numeric if a in coded for b in categories]
-        if mixed:
-            parts.append(_overlap(both, [(f"{a}|{b}", [coded[a], coded[b]]) for a, b in mixed], "pair_trend"))
+        for group in _groups(mixed):
+            parts.append(_overlap(both, [(f"{a}|{b}", [coded[a], coded[b]]) for a, b in group], "pair_trend"))
+    if not parts:  # no shared column
+        return real.sparkSession.createDataFrame([], "kind string, name string, score double")
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
     return report
 
 
+def _groups(items: Sequence) -> list[Sequence]:
+    return [items[i : i + PAIR_GROUP] for i in range(0, len(items), PAIR_GROUP)]
+
+
+def _correlation(a: str, b: str) -> Column:
+    """Null where a side is constant."""
+    x, y = F.when(as_value(b).isNotNull(), as_value(a)), F.when(as_value(a).isNotNull(), as_value(b))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.covar_pop(x, y) / F.when(spread > 0, spread)
+
+
 def quality_score(real: DataFrame, synthetic: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row ``(column_shapes, pair_trends, score)``; the score is the mean of the two averages."""
     by_kind = quality_report(real, synthetic, columns).agg(

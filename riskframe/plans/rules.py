@@ -179,14 +179,14 @@ def ordinal_encode(spark, sf_dir):
     return rows.ordinal_encode(table(spark, sf_dir, "part").select("p_partkey", brand, "p_type"), ["p_brand", "p_type"])
 
 
-# --- model versions: every urgent order is a version of its customer's model -----------------------
+# --- model versions: every order is a version of its customer's model -----------------------
 
 AS_OF_DAY = 10_592  # 1999-01-01
 _STAGES = {"F": "Production", "O": "Staging", "P": "Archived"}
 
 
 def versions(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    orders = table(spark, sf_dir, "orders")
     stage = F.lit("None")
     for status, name in _STAGES.items():
         stage = F.when(F.col("o_orderstatus") == status, F.lit(name)).otherwise(stage)
@@ -200,7 +200,7 @@ def versions(spark, sf_dir):
 
 _VERSIONS_SQL = """versions AS (SELECT 'model_' || o_custkey AS name, o_orderkey::VARCHAR AS version, 'run-' || o_orderkey AS run_id,
   CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'O' THEN 'Staging' WHEN 'P' THEN 'Archived' ELSE 'None' END AS stage,
-  date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::BIGINT * 86400000 AS creation_timestamp FROM orders WHERE o_orderpriority = '1-URGENT'),
+  date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::BIGINT * 86400000 AS creation_timestamp FROM orders),
 latest AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY name ORDER BY (stage = 'Production')::INT DESC, version::BIGINT DESC) = 1)"""
 
 
