@@ -53,6 +53,13 @@ class Codes:
         self.sample, self.ids, self.k = sample, ids, k
         self._learn_radii(rng)
 
+    @classmethod
+    def restored(cls, state: dict) -> "Codes":
+        """The model from its arrays: a broadcast of plain arrays needs no import before a worker's paths are set."""
+        model = object.__new__(cls)
+        model.__dict__.update(state)
+        return model
+
     def encode(self, vectors: np.ndarray) -> np.ndarray:
         bits = (vectors - self.mean) @ self.projection >= 0
         return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
@@ -153,12 +160,13 @@ def nearest_neighbours(rows: DataFrame, queries: Column, k: int = 10, sample_row
     table = table.filter(F.col("dim") == dim).select("vec_id", "embedding")
     sample = table.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(sample_rows).toPandas()
     model = Codes(np.stack(sample["embedding"].to_numpy()), sample["vec_id"].to_numpy(), k)
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # sample_rows vectors at most
+    shared = rows.sparkSession.sparkContext.broadcast(vars(model))  # sample_rows vectors at most
 
     def with_radius(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Codes.restored(shared.value)
         for batch in batches:
             ids = batch.column("vec_id").to_numpy()
-            radii = [shared.value.radius(v, i) for v, i in zip(vectors_of(batch.column("embedding")), ids)]
+            radii = [model.radius(v, i) for v, i in zip(vectors_of(batch.column("embedding")), ids)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("embedding"), pa.array(radii, pa.int32())], names=["vec_id", "embedding", "radius"]
             )
@@ -170,6 +178,7 @@ def nearest_neighbours(rows: DataFrame, queries: Column, k: int = 10, sample_row
     dealt = indexed.unionByName(everywhere).repartition(2 * n_blocks, "block")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Codes.restored(shared.value)
         current, parts, block = None, [], None
         for batch in batches:
             blocks = batch.column("block").to_numpy()
@@ -186,10 +195,10 @@ def nearest_neighbours(rows: DataFrame, queries: Column, k: int = 10, sample_row
                     continue
                 if block is None and parts:
                     all_ids, all_vectors = (np.concatenate(x) for x in zip(*parts))
-                    block, parts = Block(all_ids, all_vectors, shared.value.encode(all_vectors)), []
+                    block, parts = Block(all_ids, all_vectors, model.encode(all_vectors)), []
                 if block is None:  # a block that no row fell into
                     continue
-                codes = shared.value.encode(vectors)
+                codes = model.encode(vectors)
                 out = [(i, *block.nearest(v, c, i, r, k)) for i, v, c, r in zip(ids, vectors, codes, radii[a:b])]
                 sizes = [len(x[1]) for x in out]
                 yield pa.RecordBatch.from_arrays(

@@ -58,8 +58,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = rollups.TokenRollup(spark, scratch_path(spark, "rollup"))
     version = "word_bpe_49k"
     rollup.commit("load", rollups.changes_of(counted, 1, version))
-    names = [c for c in counted.columns if c not in ("doc_id", "text_hash")]
-    kept = counted.groupBy("text_hash").agg(F.min(F.struct("doc_id", *names)).alias("row")).select("row.*")
+    names = [c for c in counted.columns if c not in ("doc_id", "key1", "key2")]
+    kept = counted.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", *names)).alias("row")).select("row.*")
     revised = rollups.changes_of(counted, -1, version).unionByName(rollups.changes_of(kept, 1, version))
     for _ in range(2):
         rollup.commit("copies", revised)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm.common import n_words
+from riskframe.llm.common import n_words, text_key
 from riskframe.llm.tokens import default_tokenizer, encoder, slices
 
 KEYS = ["source", "lang", "tokenizer_version"]
@@ -22,11 +22,11 @@ _DELTAS = "source string, lang string, tokenizer_version string, documents long,
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
-    """(doc_id, text_hash, source, lang, words, tokens) of whole texts; null and empty texts count 0."""
+    """(doc_id, key1, key2, source, lang, words, tokens) of whole texts, the keys naming the text; null and empty texts count 0."""
     path = tokenizer_path or default_tokenizer()
-    schema = "doc_id long, text_hash long, source string, lang string, words long, tokens long"
+    schema = "doc_id long, key1 long, key2 long, source string, lang string, words long, tokens long"
     plain = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), "source", "lang", n_words(F.col("text")).alias("words"), "text"
+        "doc_id", *text_key(F.col("text")), "source", "lang", n_words(F.col("text")).alias("words"), "text"
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,7 +34,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str | None = None) -> DataFram
             for rows in slices(batch, "text"):
                 counts = encoder(path).encode(rows.column("text"))[1].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(i) for i in range(5)), pa.array(counts)], names=[f.split()[0] for f in schema.split(", ")]
+                    [*(rows.column(i) for i in range(6)), pa.array(counts)], names=[f.split()[0] for f in schema.split(", ")]
                 )
 
     return plain.mapInArrow(count, schema)
