@@ -82,4 +82,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_mixing": op10_mixing,
 }
-ORACLES: dict[str, str] = {}
+#: Every pair compared, and every 200-byte string written out: small tables only. The other operators need a tokenizer, a
+#: hash, a learned model or a seeded draw that SQL hasn't, and are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op7_embedding_dedup": """WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95::DOUBLE),
+reach(vec_id, root) AS (SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.vec_id WHERE r.root < l.b),
+named AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id)
+SELECT n.vec_id, (SELECT count(*) FROM links l WHERE l.a = n.vec_id) AS n_links, component_id, n.vec_id = component_id AS kept FROM named n""",
+    "op8_suffix_array": """WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS MATERIALIZED (SELECT r, p, md5(b[p + 1 : p + 200]) AS k FROM (SELECT r, b, unnest(range(octet_length(b) - 199)) AS p FROM t)),
+twice AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+starts AS (SELECT r, p, p > lag(p, 1, -1000) OVER (PARTITION BY r ORDER BY p) + 200 AS fresh FROM w SEMI JOIN twice USING (k)),
+runs AS (SELECT r, min(p) AS a, max(p) + 200 AS z
+  FROM (SELECT r, p, sum(fresh::INT) OVER (PARTITION BY r ORDER BY p) AS g FROM starts) GROUP BY r, g),
+gaps AS (SELECT r, a, z, lag(z, 1, 0) OVER (PARTITION BY r ORDER BY a) AS since FROM runs),
+cut AS (SELECT r, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS last,
+  string_agg(CASE WHEN a > since THEN hex(b[since + 1 : a]) ELSE '' END, '' ORDER BY a) AS head FROM gaps JOIN t USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(
+  coalesce(head, '') || CASE WHEN octet_length(b) > coalesce(last, 0) THEN hex(b[coalesce(last, 0) + 1 : octet_length(b)]) ELSE '' END)) AS kept_sha256
+FROM t LEFT JOIN cut USING (r)""",
+}
