@@ -298,17 +298,18 @@ def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     return max(1, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
 
 
-def running_counts(
+def running_table(
     df: DataFrame,
     values: Sequence[Column],
     measures: Mapping[str, Column],
     rows_per_bucket: int = ROWS_PER_BUCKET,
     sketches: Sequence[Sketch] | None = None,
-) -> tuple[DataFrame, list[dict[str, float]]]:
+) -> DataFrame:
     """Running totals of ``measures`` in value order, one row per (feature_id, distinct value).
 
-    Columns: ``feature_id, value``, each measure (its total at the value) and ``upto_<measure>``
-    (total at and below the value). Also returns the totals per feature.
+    Columns: ``feature_id, value``, each measure (its total at the value), ``upto_<measure>`` (total at and below
+    the value) and ``all_<measure>`` (the feature's total). One scan for the cut points and one for the counts:
+    bucket totals come from the counts per value, whose shuffle Spark uses twice.
     """
     names = list(measures)
     if sketches is None:
@@ -320,24 +321,41 @@ def running_counts(
     cells = [
         F.struct(F.lit(i).alias("feature_id"), F.col(f"__b{i}").alias("bucket"), F.col(v).alias("value")) for i, v in enumerate(values)
     ]
-    per_value = (
+    counted = (
         df.select(*names, F.explode(F.array(*cells)).alias("cell"))
         .select("cell.*", *names)
         .where(F.col("value").isNotNull())
+        .groupBy("feature_id", "bucket", "value")
+        .agg(*[F.sum(n).alias(n) for n in names])
     )
-    totals = per_value.groupBy("feature_id", "bucket").agg(*[F.sum(n).alias(n) for n in names]).collect()
-    offsets, sums = _offsets(totals, names, len(values))
     window = Window.partitionBy("feature_id", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    counted = per_value.groupBy("feature_id", "bucket", "value").agg(*[F.sum(n).alias(n) for n in names])
     local = counted.select("*", *[F.sum(n).over(window).alias(f"upto_{n}") for n in names])
-    if len(totals) > len(values):
-        # One row per (feature, bucket): bounded by MAX_BUCKETS per feature.
-        schema = "feature_id int, bucket int, " + ", ".join(f"off_{n} {_ddl(counted, n)}" for n in names)
-        small = F.broadcast(df.sparkSession.createDataFrame(offsets, schema))
-        local = local.join(small, ["feature_id", "bucket"]).select(
-            "feature_id", "value", *names, *[(F.col(f"upto_{n}") + F.col(f"off_{n}")).alias(f"upto_{n}") for n in names]
-        )
-    return local.select("feature_id", "value", *names, *[f"upto_{n}" for n in names]), sums
+    # One row per (feature, bucket): bounded by MAX_BUCKETS per feature.
+    totals = counted.groupBy("feature_id", "bucket").agg(*[F.sum(n).alias(n) for n in names])
+    whole = Window.partitionBy("feature_id")
+    below = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "feature_id", "bucket", *[F.coalesce(F.sum(n).over(below), F.lit(0)).alias(f"off_{n}") for n in names],
+        *[F.sum(n).over(whole).alias(f"all_{n}") for n in names],
+    )
+    return local.join(F.broadcast(offsets), ["feature_id", "bucket"]).select(
+        "feature_id", "value", *names, *[(F.col(f"upto_{n}") + F.col(f"off_{n}")).alias(f"upto_{n}") for n in names],
+        *[f"all_{n}" for n in names],
+    )
+
+
+def running_counts(
+    df: DataFrame,
+    values: Sequence[Column],
+    measures: Mapping[str, Column],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    sketches: Sequence[Sketch] | None = None,
+) -> tuple[DataFrame, list[dict[str, float]]]:
+    """:func:`running_table` without the totals, and the totals per feature on the driver."""
+    table = running_table(df, values, measures, rows_per_bucket, sketches)
+    totals = {r["feature_id"]: r for r in table.groupBy("feature_id").agg(*[F.first(f"all_{n}").alias(n) for n in measures]).collect()}
+    sums = [{n: totals[i][n] if i in totals else 0 for n in measures} for i in range(len(values))]
+    return table.drop(*[f"all_{n}" for n in measures]), sums
 
 
 def _bucket_cuts(df, values, sketches, rows_per_bucket) -> list[list[float]]:
@@ -348,22 +366,6 @@ def _bucket_cuts(df, values, sketches, rows_per_bucket) -> list[list[float]]:
     return [[] if k == 1 else s.cuts[:: max(1, len(s.cuts) // k)] for k, s in zip(need, sketches)]
 
 
-def _ddl(df: DataFrame, name: str) -> str:
-    return df.schema[name].dataType.simpleString()
-
-
-def _offsets(totals, names, features):
-    by_key = {(t["feature_id"], t["bucket"]): t for t in totals}
-    running = [{n: 0 for n in names} for _ in range(features)]
-    rows = []
-    for feature, bucket in sorted(by_key):
-        total = by_key[(feature, bucket)]
-        rows.append((feature, bucket, *[running[feature][n] for n in names]))
-        for n in names:
-            running[feature][n] += total[n]
-    return rows, running
-
-
 def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """0-based position of each row in the order of its key columns.
 
@@ -406,26 +408,21 @@ def inverted_ks(
     spark = real.sparkSession
     if not names:
         return spark.createDataFrame([], "feature string, ks double, inverted_ks double")
-    both = population_union(real, synthetic, names)
-    values = [as_value(n) for n in names]
-    running, totals = running_counts(
-        both,
-        values,
-        {"r": (F.col("population") == 0).cast("long"), "s": (F.col("population") == 1).cast("long")},
-        rows_per_bucket,
-    )
-    sizes = F.broadcast(
-        spark.createDataFrame(
-            [(i, n, t["r"], t["s"]) for i, (n, t) in enumerate(zip(names, totals)) if t["r"] and t["s"]],
-            "feature_id int, feature string, n_r long, n_s long",
-        )
-    )
-    gap = F.abs(F.col("upto_r") / F.col("n_r") - F.col("upto_s") / F.col("n_s"))
+    return population_ks(population_union(real, synthetic, names), names, rows_per_bucket)
+
+
+def population_ks(both: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """:func:`inverted_ks` of one table whose column ``population`` is 0 (reference) or 1; columns empty on a side are left out."""
+    names = list(columns)
+    measures = {"r": (F.col("population") == 0).cast("long"), "s": (F.col("population") == 1).cast("long")}
+    running = running_table(both, [as_value(n) for n in names], measures, rows_per_bucket)
+    gap = F.abs(F.col("upto_r") / F.col("all_r") - F.col("upto_s") / F.col("all_s"))
+    feature = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("feature_id") + 1)
     return (
-        running.join(sizes, "feature_id")
-        .groupBy("feature")
+        running.where("all_r > 0 and all_s > 0")
+        .groupBy("feature_id")
         .agg(F.max(gap).alias("ks"))
-        .select("feature", "ks", (F.lit(1.0) - F.col("ks")).alias("inverted_ks"))
+        .select(feature.alias("feature"), "ks", (F.lit(1.0) - F.col("ks")).alias("inverted_ks"))
     )
 
 
@@ -446,7 +443,7 @@ def population_union(reference: DataFrame, current: DataFrame, columns: Sequence
 
 def _score_counts(df: DataFrame, label: str, scores: Sequence[str], rows_per_bucket: int):
     valid = df.where(F.col(label).isNotNull())
-    return running_counts(
+    return running_table(
         valid,
         [as_value(s) for s in scores],
         {"pos": (F.col(label) == 1).cast("long"), "neg": (F.col(label) != 1).cast("long")},
@@ -457,7 +454,7 @@ def _score_counts(df: DataFrame, label: str, scores: Sequence[str], rows_per_buc
 def auc(df: DataFrame, label: str, scores: Sequence[str] | str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Exact ROC AUC of each score, ties at half weight: ``(score, n_pos, n_neg, auc)``."""
     scores = [scores] if isinstance(scores, str) else list(scores)
-    running, _ = _score_counts(df, label, scores, rows_per_bucket)
+    running = _score_counts(df, label, scores, rows_per_bucket)
     pairs = F.col("pos") * (F.col("upto_neg") - F.col("neg") / F.lit(2.0))
     names = F.element_at(F.array(*[F.lit(s) for s in scores]), F.col("feature_id") + 1)
     both = F.col("n_pos").cast("double") * F.col("n_neg")
@@ -471,15 +468,12 @@ def auc(df: DataFrame, label: str, scores: Sequence[str] | str, rows_per_bucket:
 def roc_points(df: DataFrame, label: str, scores: Sequence[str] | str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """ROC curve: one point per distinct threshold (score >= threshold is positive) and the origin."""
     scores = [scores] if isinstance(scores, str) else list(scores)
-    running, totals = _score_counts(df, label, scores, rows_per_bucket)
-    spark = df.sparkSession
-    sizes = F.broadcast(
-        spark.createDataFrame(
-            [(i, s, t["pos"], t["neg"]) for i, (s, t) in enumerate(zip(scores, totals))],
-            "feature_id int, score string, n_pos long, n_neg long",
-        )
-    )
-    points = running.join(sizes, "feature_id").select(
+    running = _score_counts(df, label, scores, rows_per_bucket)
+    # One row per score, also for one without any value.
+    spine = df.sparkSession.createDataFrame(list(enumerate(scores)), "feature_id int, score string")
+    sizes = running.groupBy("feature_id").agg(F.first("all_pos").alias("n_pos"), F.first("all_neg").alias("n_neg"))
+    sizes = spine.join(F.broadcast(sizes), "feature_id", "left").na.fill(0, ["n_pos", "n_neg"])
+    points = running.join(F.broadcast(spine), "feature_id").withColumnsRenamed({"all_pos": "n_pos", "all_neg": "n_neg"}).select(
         "score",
         F.col("value").alias("threshold"),
         (F.col("n_pos") - F.col("upto_pos") + F.col("pos")).alias("tp"),

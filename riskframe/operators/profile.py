@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.binning import histogram_bin
 from riskframe.operators.lookup import lookup
-from riskframe.operators.orderstats import as_value, group_quantiles, inverted_ks, population_union
+from riskframe.operators.orderstats import as_value, group_quantiles, population_ks, population_union
 from riskframe.operators.rows import numeric_columns, string_columns
 from riskframe.session import cut_lineage
 
@@ -20,10 +22,10 @@ GRID_POINTS = 200
 MAX_DENSITIES = 1_000
 # Equal ranges a numeric column is cut into when it is compared with a category column.
 PAIR_BINS = 10
-# Pairs that one aggregation works on: generated code has a size limit.
-PAIR_GROUP = 48
 LOG_CLIP = 2.0**-52
-
+_REPORT = "kind string, name string, score double"
+# Sums over the rows that hold both sides of a pair, about the columns' means.
+_MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -187,84 +189,143 @@ def attribution_summary(df: DataFrame, attributions: str) -> DataFrame:
 # --- synthetic quality -----------------------------------------------------------------------------
 
 
-def _text(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit("\u0000null"))
-
-
-def _overlap(both: DataFrame, cells: Sequence[tuple[str, Sequence[Column]]], kind: str) -> DataFrame:
-    """1 - total variation distance between the populations, per named combination of categories."""
-    structs = [
-        F.struct(F.lit(name).alias("name"), F.concat_ws("\u0001", *parts).alias("value")) for name, parts in cells
-    ]
-    counted = (
-        both.select("population", F.explode(F.array(*structs)).alias("c"))
-        .groupBy("c.name", "c.value")
-        .agg(F.count_if(F.col("population") == 0).alias("r"), F.count_if(F.col("population") == 1).alias("s"))
-    )
-    # Missing values are a category of their own, so every combination covers all rows.
-    sizes = {r["population"]: r["count"] for r in both.groupBy("population").count().collect()}
-    if not (sizes.get(0) and sizes.get(1)):
-        return counted.select(F.lit(kind).alias("kind"), "name", F.lit(None).cast("double").alias("score")).distinct()
-    gap = F.abs(F.col("r") / F.lit(float(sizes[0])) - F.col("s") / F.lit(float(sizes[1])))
-    return counted.groupBy("name").agg((F.lit(1.0) - F.lit(0.5) * F.sum(gap)).alias("score")).select(
-        F.lit(kind).alias("kind"), "name", "score"
-    )
-
-
 def quality_report(real: DataFrame, synthetic: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(kind, name, score)``: column shapes, then pair trends.
 
     Shapes: KS complement of numeric columns, total-variation complement of category columns. Trends:
     correlation similarity of numeric pairs, contingency similarity of the others (numeric sides cut
-    into equal ranges of the real data).
+    into equal ranges of the real data). A pair with a constant side and a column empty on a side score null or are left out.
     """
     names = [c for c in (columns or real.columns) if c in synthetic.columns]
     numeric = [c for c in numeric_columns(real) if c in names]
     categories = [c for c in string_columns(real) if c in names]
-    both = population_union(real, synthetic, numeric + categories)
+    return population_quality(population_union(real, synthetic, numeric + categories), numeric, categories)
+
+
+def population_quality(both: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """:func:`quality_report` of one table whose column ``population`` is 0 (real) or 1.
+
+    Any number of columns takes five scans: two for the KS distances, one for sizes and spans, one for all correlations
+    and one for all categories and their pairs.
+    """
+    if not numeric and not categories:
+        return both.sparkSession.createDataFrame([], _REPORT)
+    is_real = F.col("population") == 0
+    spans = both.agg(
+        F.count_if(is_real).alias("n_r"), F.count_if(~is_real).alias("n_s"),
+        *[
+            f.alias(f"{n}{i}") for i, c in enumerate(numeric)
+            for n, f in (("lo", F.min(F.when(is_real, as_value(c)))), ("hi", F.max(F.when(is_real, as_value(c)))), ("mean", F.avg(as_value(c))))
+        ],
+    ).first()
     parts = []
     if numeric:
-        shapes = inverted_ks(real, synthetic, numeric)
+        shapes = population_ks(both, numeric)
         parts.append(shapes.select(F.lit("column_shape").alias("kind"), F.col("feature").alias("name"), F.col("inverted_ks").alias("score")))
+    if len(numeric) > 1:
+        parts.append(_correlation_gaps(both, numeric, [spans[f"mean{i}"] or 0.0 for i in range(len(numeric))]))
     if categories:
-        parts.append(_overlap(both, [(c, [_text(c)]) for c in categories], "column_shape"))
-    for pairs in _groups([(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]):
-        corr = both.groupBy("population").agg(*[_correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-        gaps = corr.agg(*[
-            (F.lit(1.0) - F.abs(F.max(F.when(F.col("population") == 0, F.col(f"c{i}"))) - F.max(F.when(F.col("population") == 1, F.col(f"c{i}")))) / 2.0).alias(f"c{i}")
-            for i in range(len(pairs))
-        ])
-        cells = [F.struct(F.lit(f"{a}|{b}").alias("name"), F.col(f"c{i}").alias("score")) for i, (a, b) in enumerate(pairs)]
-        parts.append(gaps.select(F.explode(F.array(*cells)).alias("c")).select(F.lit("pair_trend").alias("kind"), "c.name", "c.score"))
-    if categories:
-        coded = {c: _text(c) for c in categories}
-        if numeric:
-            spans = real.agg(*[f(as_value(c)).alias(f"{n}{i}") for i, c in enumerate(numeric) for n, f in (("lo", F.min), ("hi", F.max))]).first()
-            for i, c in enumerate(numeric):
-                if spans[f"lo{i}"] is not None:
-                    binned = histogram_bin(as_value(c), spans[f"lo{i}"], spans[f"hi{i}"], PAIR_BINS)
-                    coded[c] = F.coalesce(binned.cast("string"), F.lit("\u0000null"))
-        mixed = [(a, b) for i, a in enumerate(categories) for b in categories[i + 1 :]]
-        mixed += [(a, b) for a in numeric if a in coded for b in categories]
-        for group in _groups(mixed):
-            parts.append(_overlap(both, [(f"{a}|{b}", [coded[a], coded[b]]) for a, b in group], "pair_trend"))
-    if not parts:  # no shared column
-        return real.sparkSession.createDataFrame([], "kind string, name string, score double")
-    report = parts[0]
-    for p in parts[1:]:
-        report = report.unionByName(p)
-    return report
-
-
-def _groups(items: Sequence) -> list[Sequence]:
-    return [items[i : i + PAIR_GROUP] for i in range(0, len(items), PAIR_GROUP)]
-
-
-def _correlation(a: str, b: str) -> Column:
-    """Null where a side is constant."""
-    x, y = F.when(as_value(b).isNotNull(), as_value(a)), F.when(as_value(a).isNotNull(), as_value(b))
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.covar_pop(x, y) / F.when(spread > 0, spread)
+        parts.append(_overlaps(both, numeric, categories, spans))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _overlaps(both: DataFrame, numeric: Sequence[str], categories: Sequence[str], spans) -> DataFrame:
+    """1 - total variation distance between the populations, per category column and per pair with one."""
+    # Missing values are a category of their own, so every combination covers all rows.
+    coded = [_text(F.col(c).cast("string")) for c in categories]
+    binned = [i for i in range(len(numeric)) if spans[f"lo{i}"] is not None]
+    coded += [_text(histogram_bin(as_value(numeric[i]), spans[f"lo{i}"], spans[f"hi{i}"], PAIR_BINS).cast("string")) for i in binned]
+    labels = [*categories, *[numeric[i] for i in binned]]
+    k = len(categories)
+    cells = [(i, i) for i in range(k)] + [(i, j) for i in range(k) for j in range(i + 1, k)] + [(j, i) for j in range(k, len(labels)) for i in range(k)]
+    names = [labels[i] if i == j else f"{labels[i]}|{labels[j]}" for i, j in cells]
+    kinds = ["column_shape" if i == j else "pair_trend" for i, j in cells]
+    width = len(coded)
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            synthetic = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            columns = [batch.column(1 + i).dictionary_encode() for i in range(width)]
+            codes = [c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
+            found = []
+            for cell, (i, j) in enumerate(cells):
+                size = len(columns[j].dictionary)
+                # Population, then both codes: one number per row, counted within the batch.
+                key, n = np.unique((codes[i] * size + codes[j]) * 2 + synthetic, return_counts=True)
+                pair = key >> 1
+                taken = [columns[i].dictionary.take(pa.array(pair // size)), columns[j].dictionary.take(pa.array(pair % size))]
+                found.append((np.full(len(key), cell, np.int32), *taken, np.where(key & 1, 0, n), np.where(key & 1, n, 0)))
+            arrays = [pa.array(np.concatenate([f[0] for f in found])), *[pa.concat_arrays([f[k] for f in found]) for k in (1, 2)]]
+            arrays += [pa.array(np.concatenate([f[k] for f in found])) for k in (3, 4)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["cell", "a", "b", "r", "s"])
+
+    counted = (
+        both.select(F.col("population").cast("int"), *[c.alias(f"c{i}") for i, c in enumerate(coded)])
+        .mapInArrow(counts, "cell int, a string, b string, r long, s long")
+        .groupBy("cell", "a", "b")
+        .agg(F.sum("r").alias("r"), F.sum("s").alias("s"))
+    )
+    if spans["n_r"] and spans["n_s"]:
+        gap = F.abs(F.col("r") / F.lit(float(spans["n_r"])) - F.col("s") / F.lit(float(spans["n_s"])))
+        score = F.lit(1.0) - F.lit(0.5) * F.sum(gap)
+    else:
+        score = F.first(F.lit(None).cast("double"))
+    found = counted.groupBy("cell").agg(score.alias("score"))
+    return found.select(F.get(F.lit(kinds), "cell").alias("kind"), F.get(F.lit(names), "cell").alias("name"), "score")
+
+
+def _text(code: Column) -> Column:
+    return F.coalesce(code, F.lit("\u0000null"))
+
+
+def _correlation_gaps(both: DataFrame, numeric: Sequence[str], means: Sequence[float]) -> DataFrame:
+    """Correlation similarity of every numeric pair over the rows that hold both; null where a side is constant.
+
+    Every task adds up the moments of all pairs and sends one row per population and pair.
+    """
+    width = len(numeric)
+    first, second = np.triu_indices(width, 1)
+    centre = np.array(means, dtype=float)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, 6, len(first)))
+        for batch in batches:
+            population = batch.column(0).to_numpy(zero_copy_only=False)
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
+            for p in (0, 1):
+                part = x[population == p]
+                held = ~np.isnan(part)
+                part, held = np.where(held, part - centre, 0.0), held.astype(float)
+                squares = part * part
+                found = (held.T @ held, part.T @ held, held.T @ part, squares.T @ held, held.T @ squares, part.T @ part)
+                sums[p] += np.stack([f[first, second] for f in found])
+        for p in (0, 1):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(first), p, np.int32)), pa.array(np.arange(len(first), dtype=np.int32)), *[pa.array(s) for s in sums[p]]],
+                names=["population", "pair", *_MOMENTS],
+            )
+
+    schema = "population int, pair int, " + ", ".join(f"{m} double" for m in _MOMENTS)
+    values = both.select(F.col("population").cast("int"), F.array(*[as_value(c) for c in numeric]).alias("x"))
+    totals = values.mapInArrow(moments, schema).groupBy("population", "pair").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+    spread = [_variance("sx", "sxx"), _variance("sy", "syy")]
+    covariance = F.col("sxy") / F.col("n") - F.col("sx") / F.col("n") * F.col("sy") / F.col("n")
+    both_vary = (F.col("n") > 0) & (spread[0] > 0) & (spread[1] > 0)
+    each = totals.select("population", "pair", F.when(both_vary, covariance / F.sqrt(spread[0] * spread[1])).alias("corr"))
+    gap = F.abs(F.max(F.when(F.col("population") == 0, F.col("corr"))) - F.max(F.when(F.col("population") == 1, F.col("corr"))))
+    names = F.lit([f"{numeric[i]}|{numeric[j]}" for i, j in zip(first, second)])
+    scored = each.groupBy("pair").agg((F.lit(1.0) - gap / 2.0).alias("score"))
+    return scored.select(F.lit("pair_trend").alias("kind"), F.get(names, "pair").alias("name"), "score")
+
+
+def _variance(total: str, squares: str) -> Column:
+    """Zero where rounding is all there is."""
+    mean_square = F.try_divide(F.col(squares), F.col("n"))
+    mean = F.try_divide(F.col(total), F.col("n"))
+    found = mean_square - mean * mean
+    return F.when(found > mean_square * F.lit(1e-13), found).otherwise(F.lit(0.0))
 
 
 def quality_score(real: DataFrame, synthetic: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators.neighbors import calculate_dcr
-from riskframe.operators.orderstats import inverted_ks, mean_inverted_ks
-from riskframe.operators.profile import quality_report
+from riskframe.operators.orderstats import mean_inverted_ks, population_ks
+from riskframe.operators.profile import population_quality
 from riskframe.plans.registry import query, round_columns, table
-from riskframe.plans.views import EARLY_SQL, LATE_SQL, early, late
+from riskframe.plans.views import EARLY_SQL, LATE_SQL, SPLIT_DAY, early, late
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 QUALITY_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -34,12 +34,18 @@ def _halves(spark, sf_dir, columns):
     return early(lines).drop("l_shipdate"), late(lines).drop("l_shipdate")
 
 
+def _marked(spark, sf_dir, columns):
+    """Both halves in one scan, told apart by ``population``."""
+    lines = table(spark, sf_dir, "lineitem").where("l_shipdate is not null")
+    return lines.select(*columns, (F.col("l_shipdate") >= F.lit(SPLIT_DAY).cast("timestamp_ntz")).cast("int").alias("population"))
+
+
 @query(
     "inverted_ks",
     " UNION ALL ".join(f"SELECT feature, round(ks, 6) AS ks, round(1 - ks, 6) AS inverted_ks FROM ({sql_ks(f, _lines(f))})" for f in NUMERIC),
 )
 def inverted_ks_lines(spark, sf_dir):
-    return round_columns(inverted_ks(*_halves(spark, sf_dir, NUMERIC)), ["ks", "inverted_ks"])
+    return round_columns(population_ks(_marked(spark, sf_dir, NUMERIC), NUMERIC), ["ks", "inverted_ks"])
 
 
 @query("inverted_ks_balance", f"SELECT round(1 - ks, 6) AS inverted_ks, 1::BIGINT AS n_columns FROM ({sql_ks('acctbal', _BALANCES)})")
@@ -139,4 +145,5 @@ SELECT kind, name, round(score, 6) AS score FROM ({' UNION ALL '.join(parts)})""
 
 @query("quality_score", _quality_sql())
 def quality(spark, sf_dir):
-    return round_columns(quality_report(*_halves(spark, sf_dir, QUALITY_NUMERIC + QUALITY_TEXT)), ["score"])
+    both = _marked(spark, sf_dir, QUALITY_NUMERIC + QUALITY_TEXT)
+    return round_columns(population_quality(both, QUALITY_NUMERIC, QUALITY_TEXT), ["score"])
