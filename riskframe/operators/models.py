@@ -15,14 +15,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseMatrix
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskframe.operators.orderstats import auc
 from riskframe.operators.passes import spread_small
 from riskframe.operators.profile import f1_score
 from riskframe.operators.sampling import draw_parameters
 from riskframe.operators.scorecard import LinearScorecard
-from riskframe.session import checkpoint_root
+from riskframe.session import checkpoint_root, scratch_path
 
 FEATURES = "__features"
 # Settings of the gate model and the grid of the tuned one.
@@ -165,53 +165,63 @@ def tune_gbt(
 
 
 @dataclass
-class _Leaf:
-    """A leaf with its path: per feature the interval it allows and the share of training rows kept."""
-
-    value: float
-    features: list[int]
-    low: list[float]
-    high: list[float]
-    share: list[float]
-
-
-def _leaves(node, weight: float, path: dict) -> list[_Leaf]:
-    if node.subtreeDepth() == 0:
-        names = sorted(path)
-        return [
-            _Leaf(weight * node.prediction(), names, [path[f][0] for f in names], [path[f][1] for f in names], [path[f][2] for f in names])
-        ]
-    split = node.split()
-    f, cut = split.featureIndex(), split.threshold()
-    total = node.impurityStats().count()
-    out = []
-    for child, is_left in ((node.leftChild(), True), (node.rightChild(), False)):
-        low, high, share = path.get(f, (-math.inf, math.inf, 1.0))
-        low, high = (low, min(high, cut)) if is_left else (max(low, cut), high)
-        out += _leaves(child, weight, {**path, f: (low, high, share * child.impurityStats().count() / total)})
-    return out
+class _Tree:
+    """A tree as arrays over its nodes, the root first; leaves have feature -1. ``rows`` counts training rows."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    rows: np.ndarray
 
 
-def _add_leaf(leaf: _Leaf, x: np.ndarray, out: np.ndarray) -> None:
-    """Add the Shapley values of one leaf to ``out``.
+def _leaf_values(value: float, shares: Sequence[float], known: np.ndarray) -> np.ndarray:
+    """Shapley values of one leaf, one row per path feature and one column per entry of ``known``.
 
-    A feature outside the coalition keeps the leaf with its training share, a feature inside with 1 or 0.
-    The sum over coalitions by size is the product of (share + inside * t) over the other features.
+    Bit j of an entry tells whether the row goes the leaf's way on path feature j. A feature outside the coalition keeps
+    the leaf with its training share, a feature inside with its bit. The weighted sum over coalitions is the integral over
+    [0, 1] of the product of share * (1 - t) + bit * t of the other features; Gauss nodes make it exact.
     """
-    m = len(leaf.features)
-    inside = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi in zip(leaf.features, leaf.low, leaf.high)]
-    weights = [math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)]
-    for j, f in enumerate(leaf.features):
-        by_size = [np.ones(len(x))]
-        for i in range(m):
-            if i == j:
-                continue
-            grown = [c * leaf.share[i] for c in by_size] + [np.zeros(len(x))]
-            for s, c in enumerate(by_size):
-                grown[s + 1] = grown[s + 1] + c * inside[i]
-            by_size = grown
-        total = sum(w * c for w, c in zip(weights, by_size))
-        out[:, f] += leaf.value * (inside[j] - leaf.share[j]) * total
+    m = len(shares)
+    share = np.array(shares)[:, None]
+    bits = ((known[None, :] >> np.arange(m)[:, None]) & 1).astype(float)
+    nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+    total = np.zeros_like(bits)
+    for t, w in zip((nodes + 1.0) / 2.0, weights / 2.0):
+        factors = share * (1.0 - t) + bits * t
+        total += w * factors.prod(axis=0) / factors
+    return value * (bits - share) * total
+
+
+def _add_tree(tree: _Tree, x: np.ndarray, out: np.ndarray) -> None:
+    """Add the Shapley values of one tree for the columns of ``x`` (features, rows) to ``out``.
+
+    One walk down the tree: each node holds, per row, a bit for every feature of its path. A leaf depends on these bits
+    alone, so it is worked out once per combination and looked up by row.
+    """
+    todo = [(0, np.zeros(x.shape[1], dtype=np.int32), [], [])]
+    while todo:
+        node, known, path, shares = todo.pop()
+        f = tree.feature[node]
+        if f < 0:
+            if path:
+                if 1 << len(path) <= len(known):
+                    found, at = np.arange(1 << len(path)), known.astype(np.intp)
+                else:
+                    found, at = np.unique(known, return_inverse=True)
+                for j, phi in zip(path, _leaf_values(tree.value[node], shares, found)):
+                    out[j] += phi.take(at)
+            continue
+        goes_left = x[f] <= tree.cut[node]
+        for child, goes in ((tree.left[node], goes_left), (tree.right[node], ~goes_left)):
+            kept = tree.rows[child] / tree.rows[node]
+            if f in path:
+                j = path.index(f)
+                below = known & ~((~goes).astype(np.int32) << j)
+                todo.append((child, below, path, [*shares[:j], shares[j] * kept, *shares[j + 1 :]]))
+            else:
+                todo.append((child, known | (goes.astype(np.int32) << len(path)), [*path, f], [*shares, kept]))
 
 
 def tree_attributions(
@@ -223,31 +233,52 @@ def tree_attributions(
     task; rows are handled in Arrow batches.
     """
     features = feature_names(model)
-    leaves = tree_leaves(model.stages[1])
+    trees = tree_arrays(model.stages[1])
 
     @F.pandas_udf("array<double>")
     def explain(vectors: pd.Series) -> pd.Series:
-        x = np.stack(vectors.to_numpy())
-        values = np.zeros_like(x)
-        for leaf in leaves:
-            _add_leaf(leaf, x, values)
-        return pd.Series(list(values))
+        # Encoded rows repeat; each different one is explained once.
+        x, at = np.unique(np.stack(vectors.to_numpy()), axis=0, return_inverse=True)
+        columns = np.ascontiguousarray(x.T)
+        values = np.zeros_like(columns)
+        for tree in trees:
+            _add_tree(tree, columns, values)
+        return pd.Series(list(np.ascontiguousarray(values.T)[at.ravel()]))
 
     # Only the model's inputs travel to the batch and only numbers come back; names are added by Spark.
     inputs = F.array(*[F.col(f + suffix).cast("double") for f in features])
     cells = [F.struct(F.lit(f).alias("feature"), F.col("__phi")[i].alias("value")) for i, f in enumerate(features)]
-    explained = df.withColumn("__phi", explain(inputs)).withColumns({name: F.array(*cells), base: F.lit(base_value(leaves))})
+    explained = df.withColumn("__phi", explain(inputs)).withColumns({name: F.array(*cells), base: F.lit(base_value(trees))})
     return explained.drop("__phi")
 
 
-def base_value(leaves: Sequence[_Leaf]) -> float:
+def base_value(trees: Sequence[_Tree]) -> float:
     """The expected log-odds when no feature is known."""
-    return float(sum(leaf.value * math.prod(leaf.share) for leaf in leaves))
+    return float(sum((t.value * t.rows)[t.feature < 0].sum() / t.rows[0] for t in trees))
+
 
+def tree_arrays(gbt: GBTClassificationModel) -> list[_Tree]:
+    """All trees in log-odds: the margin F gives p = 1 / (1 + exp(-2 F)), hence the factor 2.
 
-def tree_leaves(gbt: GBTClassificationModel) -> list[_Leaf]:
-    """Leaves of all trees in log-odds: the margin F gives p = 1 / (1 + exp(-2 F)), hence the factor 2."""
+    The nodes are read from the saved model, as one table instead of one call per node.
+    """
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "trees")
+    gbt.save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    split = [F.col("split.featureIndex").alias("feature"), F.get("split.leftCategoriesOrThreshold", 0).alias("cut")]
+    table = nodes.select(
+        "treeID", "id", "leftChild", "rightChild", "prediction", F.col("impurityStats")[0].alias("rows"), *split
+    ).toPandas()
     out = []
-    for tree, weight in zip(gbt.trees, gbt.treeWeights):
-        out += _leaves(tree._call_java("rootNode"), 2.0 * weight, {})
+    for tree, part in table.sort_values(["treeID", "id"]).groupby("treeID"):
+        place = pd.Series(np.arange(len(part)), index=part["id"])
+        inner = part["leftChild"].to_numpy() >= 0
+        child = lambda c: place.reindex(part[c]).fillna(-1).to_numpy(dtype=np.int64)
+        out.append(
+            _Tree(
+                np.where(inner, part["feature"], -1).astype(np.int64), np.where(inner, part["cut"], np.nan).astype(float), child("leftChild"),
+                child("rightChild"), 2.0 * gbt.treeWeights[tree] * part["prediction"].to_numpy(dtype=float), part["rows"].to_numpy(dtype=float),
+            )
+        )
     return out

@@ -72,29 +72,31 @@ def test_tree_attributions_add_up(training, trees):
     assert gap < 1e-9
 
 
-def test_tree_attributions_equal_the_definition():
-    """Shapley values by enumeration of coalitions, for a few made-up leaves of one tree."""
-    leaves = [
-        M._Leaf(1.0, [0, 1], [-math.inf, -math.inf], [0.0, 0.0], [0.6, 0.5]),
-        M._Leaf(-2.0, [0, 1], [-math.inf, 0.0], [0.0, math.inf], [0.6, 0.5]),
-        M._Leaf(3.0, [0, 2], [0.0, -math.inf], [math.inf, 1.0], [0.4, 0.25]),
-        M._Leaf(0.5, [0, 2], [0.0, 1.0], [math.inf, math.inf], [0.4, 0.75]),
-    ]
-    x = np.array([[-1.0, 2.0, 0.0], [1.0, -3.0, 0.5], [2.0, 0.0, 4.0]])
-
-    def value(row, known):
-        total = 0.0
-        for leaf in leaves:
-            weight = leaf.value
-            for f, lo, hi, share in zip(leaf.features, leaf.low, leaf.high, leaf.share):
-                weight *= float(lo < row[f] <= hi) if f in known else share
-            total += weight
-        return total
-
-    got = np.zeros_like(x)
-    for leaf in leaves:
-        M._add_leaf(leaf, x, got)
-    assert M.base_value(leaves) == pytest.approx(value(x[0], set()))
+def _made_up_tree():
+    """Splits: f0 at 0 (60 of 100 rows left); left of it f1 at 0 (half), then f0 again at -2; right of it f2 at 1 (a quarter)."""
+    feature = np.array([0, 1, 2, 0, -1, -1, -1, -1, -1])
+    cut = np.array([0.0, 0.0, 1.0, -2.0] + [math.nan] * 5)
+    left, right = np.array([1, 3, 5, 7] + [-1] * 5), np.array([2, 4, 6, 8] + [-1] * 5)
+    value = np.array([0.0, 0.0, 0.0, 0.0, -2.0, 3.0, 0.5, 1.0, -4.0])
+    return M._Tree(feature, cut, left, right, value, np.array([100.0, 60.0, 40.0, 30.0, 30.0, 10.0, 30.0, 12.0, 18.0]))
+
+
+@pytest.mark.parametrize("copies", [1, 20])
+def test_tree_attributions_equal_the_definition(copies):
+    """Shapley values by enumeration of coalitions, few rows (by combination) and many (by table)."""
+    tree = _made_up_tree()
+    x = np.array([[-1.0, 2.0, 0.0], [1.0, -3.0, 0.5], [2.0, 0.0, 4.0], [-3.0, -1.0, 1.0], [-1.0, -1.0, 9.0]])
+
+    def value(row, known, node=0):
+        f = tree.feature[node]
+        if f < 0:
+            return tree.value[node]
+        sides = [(tree.left[node], row[f] <= tree.cut[node]), (tree.right[node], row[f] > tree.cut[node])]
+        return sum((float(goes) if f in known else tree.rows[c] / tree.rows[node]) * value(row, known, c) for c, goes in sides)
+
+    got = np.zeros((3, len(x) * copies))
+    M._add_tree(tree, np.repeat(x, copies, axis=0).T, got)
+    assert M.base_value([tree]) == pytest.approx(value(x[0], set()))
     for r, row in enumerate(x):
         for f in range(3):
             others = [g for g in range(3) if g != f]
@@ -102,7 +104,7 @@ def test_tree_attributions_equal_the_definition():
                 math.factorial(n) * math.factorial(2 - n) / 6 * (value(row, set(c) | {f}) - value(row, set(c)))
                 for n in range(3) for c in itertools.combinations(others, n)
             )
-            assert got[r, f] == pytest.approx(want)
+            assert got[f, r * copies] == pytest.approx(want, abs=1e-12)
 
 
 def test_learning_curve_ends_at_the_log_loss(training, trees):
