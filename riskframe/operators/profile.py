@@ -18,8 +18,8 @@ from riskframe.operators.rows import numeric_columns, string_columns
 from riskframe.session import cut_lineage
 
 GRID_POINTS = 200
-# Grids travel with every task, so the classes to draw must be few; more of them are refused.
-MAX_DENSITIES = 1_000
+# Different values of one group that a task adds up at a time.
+DENSITY_ROWS = 100_000
 # Equal ranges a numeric column is cut into when it is compared with a category column.
 PAIR_BINS = 10
 LOG_CLIP = 2.0**-52
@@ -66,57 +66,35 @@ def grouped_histogram(df: DataFrame, column: str, group: str, bins: int = 50) ->
 def density_grid(df: DataFrame, column: str, group: str, points: int = GRID_POINTS) -> DataFrame:
     """Gaussian kernel density of each group on its own grid: ``(group, grid_id, x, density)``.
 
-    Bandwidth by Scott's rule. Every task adds up the kernels of its rows for all grid points and emits
-    one row per (group, point); densities are scaled by the group's share of all rows.
+    Bandwidth by Scott's rule; densities are scaled by the group's share of all rows. Groups of one value have none.
+    Equal values are merged, and a group's values are dealt out in parts of bounded size, each of which sends one row
+    per grid point: neither many groups nor a hot one gather in a task or on the driver.
     """
-    value = as_value(column)
-    stats = (
-        df.where(value.isNotNull() & F.col(group).isNotNull())
-        .groupBy(group)
-        .agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"), F.stddev_samp(value).alias("sd"))
-        .collect()
-    )
-    if len(stats) > MAX_DENSITIES:
-        raise ValueError(f"{len(stats)} groups: a density is drawn per class, not per key")
-    stats = sorted((r for r in stats if r["n"] > 1 and r["sd"]), key=lambda r: str(r[group]))
-    spark = df.sparkSession
-    out = "gid int, grid_id int, part double"
-    total = sum(r["n"] for r in stats)
-    grids = [np.linspace(r["lo"], r["hi"], points) for r in stats]
-    widths = [r["sd"] * r["n"] ** -0.2 for r in stats]
-
-    def kernels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((len(grids), points))
-        for batch in batches:
-            for g, values in batch.groupby("gid")["v"]:
-                found, times = np.unique(values.to_numpy(), return_counts=True)
-                for at in range(0, len(found), 4096):
-                    z = (grids[g][None, :] - found[at : at + 4096, None]) / widths[g]
-                    sums[g] += times[at : at + 4096] @ np.exp(-0.5 * z * z)
-        g, p = np.divmod(np.arange(sums.size), points)
-        yield pd.DataFrame({"gid": g.astype(np.int32), "grid_id": p.astype(np.int32), "part": sums.ravel()})
-
-    gid = F.lit(None).cast("int")
-    for i, r in enumerate(stats):
-        gid = F.when(F.col(group) == F.lit(r[group]), F.lit(i)).otherwise(gid)
-    schema = f"gid int, {group} {df.schema[group].dataType.simpleString()}, lo double, step double, scale double"
-    frame = spark.createDataFrame(
-        [
-            (i, r[group], r["lo"], (r["hi"] - r["lo"]) / (points - 1), 1.0 / (total * widths[i] * math.sqrt(2 * math.pi)))
-            for i, r in enumerate(stats)
-        ],
-        schema,
-    )
-    parts = (
-        df.select(gid.alias("gid"), value.alias("v"))
-        .where(F.col("gid").isNotNull() & F.col("v").isNotNull())
-        .mapInPandas(kernels, out)
-        .groupBy("gid", "grid_id")
-        .agg(F.sum("part").alias("part"))
-    )
-    return parts.join(F.broadcast(frame), "gid").select(
-        group, "grid_id", (F.col("lo") + F.col("grid_id") * F.col("step")).alias("x"), (F.col("part") * F.col("scale")).alias("density")
-    )
+    data = df.select(group, as_value(column).alias("v")).where(F.col("v").isNotNull() & F.col(group).isNotNull())
+    moments = data.groupBy(group).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.stddev_samp("v").alias("sd"))
+    stats = cut_lineage(moments.where((F.col("sd") > 0) & ~F.isnan("sd")))
+    total = stats.agg(F.sum("n")).first()[0] or 0
+    stats = stats.withColumns({"step": (F.col("hi") - F.col("lo")) / F.lit(points - 1), "width": F.col("sd") * F.pow("n", F.lit(-0.2))})
+    key = stats.select(F.col(group).cast("string").alias("key"), "lo", "step", "width", "n")
+    values = data.groupBy(group, "v").agg(F.count("*").alias("times"))
+    placed = lookup(values, key, F.col(group).cast("string"), ["lo", "step", "width", "n"], weight="n").where("width is not null")
+    part = F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / F.lit(DENSITY_ROWS))).alias("part")
+    group_type = df.schema[group].dataType.simpleString()
+
+    def kernels(rows: pd.DataFrame) -> pd.DataFrame:
+        low, step, width = (rows[c].iloc[0] for c in ("lo", "step", "width"))
+        grid = low + np.arange(points) * step
+        found, times = rows["v"].to_numpy(), rows["times"].to_numpy()
+        sums = np.zeros(points)
+        for at in range(0, len(found), 4096):
+            z = (grid[None, :] - found[at : at + 4096, None]) / width
+            sums += times[at : at + 4096] @ np.exp(-0.5 * z * z)
+        scale = 1.0 / (total * width * math.sqrt(2 * math.pi))
+        return pd.DataFrame({"g": rows["g"].iloc[0], "grid_id": np.arange(points, dtype=np.int32), "x": grid, "density": sums * scale})
+
+    parts = placed.select(F.col(group).alias("g"), part, "v", "times", "lo", "step", "width").groupBy("g", "part")
+    summed = parts.applyInPandas(kernels, f"g {group_type}, grid_id int, x double, density double")
+    return summed.groupBy(F.col("g").alias(group), "grid_id", "x").agg(F.sum("density").alias("density"))
 
 
 def box_stats(df: DataFrame, column: str, group: str) -> DataFrame:

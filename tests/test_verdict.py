@@ -1,11 +1,13 @@
 """Ordinary input that once crashed or gave wrong rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators.drift import DriftMonitor
 from riskframe.operators.lookup import lookup
-from riskframe.operators.profile import class_distribution, quality_report
+from riskframe.operators import profile
+from riskframe.operators.profile import class_distribution, density_grid, quality_report
 from riskframe.operators.woe import WoETransformer
 
 
@@ -44,3 +46,20 @@ def test_class_distribution(spark):
     table = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "label string")
     assert [tuple(r) for r in class_distribution(table, "label").collect()] == [(None, 1, 25.0), ("a", 2, 50.0), ("b", 1, 25.0)]
     assert class_distribution(table.limit(0), "label").count() == 0
+
+
+def test_densities_of_many_groups_and_a_hot_one(spark, monkeypatch):
+    monkeypatch.setattr(profile, "DENSITY_ROWS", 100)
+    table = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 1501)).alias("g"),
+        F.when(F.col("id") > 5, F.sqrt("id")).alias("v"),
+    )
+    grid = density_grid(table, "v", "g", 5).cache()
+    assert grid.count() == 1502 * 5 and density_grid(table.limit(0), "v", "g").count() == 0
+    values = np.array([r.v for r in table.where("g = 'hot' and v is not null").collect()])
+    n = table.where("v is not null").count()
+    width = values.std(ddof=1) * len(values) ** -0.2
+    for r in grid.where("g = 'hot'").collect():
+        assert r.x == pytest.approx(values.min() + r.grid_id * (values.max() - values.min()) / 4)
+        want = np.exp(-0.5 * ((r.x - values) / width) ** 2).sum() / (n * width * np.sqrt(2 * np.pi))
+        assert r.density == pytest.approx(want)
