@@ -19,12 +19,20 @@ from riskframe.operators.rows import require_target
 from riskframe.session import cut_lineage
 
 
+# Classes that counts on the driver may have.
+MAX_CLASSES = 10_000
+
+
 def _key_text(key: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.col(c).cast("string") for c in key])
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    return {r[label]: r["n"] for r in df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()}
+    """Rows per class. A column with more than ``MAX_CLASSES`` values is no class label and is refused."""
+    counted = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(counted) > MAX_CLASSES:
+        raise ValueError(f"'{label}' has more than {MAX_CLASSES} values; it is no class label")
+    return {r[label]: r["n"] for r in counted}
 
 
 def allocate(counts: Mapping, total: int) -> dict:
@@ -231,6 +239,9 @@ class SmoteResampler:
         self._check(df, features)
         counts = class_counts(df, self.target_col)
         minority, missing = self.new_rows(counts)
+        repeated = df.where(F.col(self.target_col) == minority).groupBy(*self.key).count().where("count > 1").limit(1).collect()
+        if repeated:
+            raise ValueError(f"key {self.key} names several rows, {repeated[0].asDict()} for one")
         if counts[minority] <= self.k_neighbors:
             raise ValueError(f"{counts[minority]} minority rows are too few for {self.k_neighbors} neighbours")
         original = df

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskframe.functions.text import display_feature
 
@@ -47,6 +48,13 @@ class LinearScorecard:
     def score(self, df: DataFrame, suffix: str = "", probability: str = "probability", attributions: str = "attributions") -> DataFrame:
         return df.withColumns({probability: self.probability(suffix), attributions: self.attributions(suffix)})
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        spark.createDataFrame([(json.dumps(asdict(self)),)], "state string").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "LinearScorecard":
+        return cls(**json.loads(spark.read.parquet(path).first()["state"]))
+
 
 def sort_attributions(attributions: Column, top: int | None = None) -> Column:
     """By absolute value, largest first, ties in the given order; display names; the first ``top`` only."""

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.drift import DriftMonitor
 from riskframe.operators.lookup import lookup
-from riskframe.operators import profile
+from riskframe.operators import models, profile, sampling
 from riskframe.operators.profile import class_distribution, density_grid, quality_report
+from riskframe.operators.sampling import SmoteResampler
+from riskframe.operators.scorecard import LinearScorecard
+from riskframe.operators.scoring import Scorer
 from riskframe.operators.woe import WoETransformer
 
 
@@ -63,3 +66,32 @@ def test_densities_of_many_groups_and_a_hot_one(spark, monkeypatch):
         assert r.x == pytest.approx(values.min() + r.grid_id * (values.max() - values.min()) / 4)
         want = np.exp(-0.5 * ((r.x - values) / width) ** 2).sum() / (n * width * np.sqrt(2 * np.pi))
         assert r.density == pytest.approx(want)
+
+
+def test_smote_refuses_a_key_of_several_rows(spark):
+    rows = spark.createDataFrame([(7, float(i), int(i < 20)) for i in range(60)], "key long, a double, y int")
+    with pytest.raises(ValueError, match="several rows"):
+        SmoteResampler("y", key=["key"]).fit_resample_combined(rows)
+
+
+def test_a_key_is_no_class_label(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "MAX_CLASSES", 20)
+    assert len(sampling.class_counts(spark.range(20), "id")) == 20
+    with pytest.raises(ValueError, match="class label"):
+        sampling.class_counts(spark.range(21), "id")
+
+
+@pytest.mark.parametrize("linear", [True, False])
+def test_a_scorer_comes_back_from_its_files(spark, tmp_path, linear):
+    rows = spark.createDataFrame([(float(i % 50), float(i % 7), int(i % 50 + i % 3 > 25)) for i in range(400)], "age double, income double, y int")
+    encoder = WoETransformer("y").fit(rows)
+    names = encoder.get_selected_features()
+    model = LinearScorecard(names, [-1.0] * len(names), 0.1, [0.0] * len(names))
+    if not linear:
+        model = models.train_gbt(encoder.transform(rows, keep_target=True), names, "y", {"maxIter": 2, "maxDepth": 2})
+    scorer = Scorer(encoder, model, {"age": 40.0, "income": 5.0})
+    scorer.save(spark, str(tmp_path))
+    again = Scorer.load(spark, str(tmp_path))
+    assert again.defaults == scorer.defaults
+    key = lambda df: sorted((r.age, r.income, r.probability, r.grade, str(r.shap_values)) for r in df.collect())
+    assert key(again.score(rows)) == key(scorer.score(rows))
