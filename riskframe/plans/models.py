@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from riskframe.operators import evaluation, models, scoring
 from riskframe.operators.orderstats import auc
 from riskframe.operators.profile import attribution_summary
-from riskframe.operators.sampling import assign_folds, hash_sample, stratified_flag
+from riskframe.operators.sampling import SmoteResampler, assign_folds, hash_sample, stratified_flag
 from riskframe.operators.woe import WoETransformer
 from riskframe.plans.encoding import FEATURES
 from riskframe.plans.registry import query, r6
 from riskframe.plans.scores import records
-from riskframe.plans.views import LINE_KEY, credit, early, late
+from riskframe.plans.views import CREDIT_SQL, LINE_KEY, credit, early, late
 from riskframe.session import cut_lineage
 
 # The rounds of the gate, at the depth of the early-stopping run.
@@ -76,6 +76,37 @@ def monotone_scorecard(spark, sf_dir):
     return weights.withColumn("test_auc", F.lit(found))
 
 
+@query(
+    "monotone_audit",
+    f"WITH {CREDIT_SQL} SELECT 4 * ceil(0.3::DOUBLE * count(*))::BIGINT AS n_steps, 0::BIGINT AS n_violations FROM credit",
+)
+def monotone_audit(spark, sf_dir):
+    """Steps of a sweep over five values of the strongest feature, for every test row, and those in the wrong direction."""
+    train, test, features = _encoded(spark, sf_dir)
+    card = models.train_scorecard(train, features, "y", {f: -1 for f in features})
+    swept = card.score(scoring.sweep(test, features[0], [-1.0, -0.5, 0.0, 0.5, 1.0]))
+    return models.monotonicity_audit(swept, LINE_KEY, features[0])
+
+
+@query(
+    "training_folds",
+    f"""WITH {CREDIT_SQL}, sizes AS (SELECT y, count(*) AS n_c, sum(count(*)) OVER () AS n FROM credit GROUP BY y),
+exact AS (SELECT y, (n - ceil(0.3::DOUBLE * n)) AS n_train, n_train * n_c / n::DOUBLE AS share, floor(share)::BIGINT AS base FROM sizes),
+train AS (SELECT y, base + CASE WHEN row_number() OVER (ORDER BY share - base DESC, y::VARCHAR) <= n_train - sum(base) OVER () THEN 1 ELSE 0 END AS n
+  FROM exact)
+SELECT y, fold, (n // 3 + CASE WHEN fold < n % 3 THEN 1 ELSE 0 END)::BIGINT AS n_original, (max(n) OVER ())::BIGINT AS n_class
+FROM train, (SELECT unnest([0, 1, 2])::INT AS fold)""",
+)
+def training_folds(spark, sf_dir):
+    """What the training run tunes on: original rows per class and fold, and rows per class after oversampling."""
+    train, _, _ = _encoded(spark, sf_dir)
+    balanced = cut_lineage(SmoteResampler("y", key=LINE_KEY, tag="origin").fit_resample_combined(train))
+    folded = evaluation.training_folds(balanced, train, "y", LINE_KEY)
+    counted = folded.groupBy("y", "fold").agg(F.count_if(F.col("origin") == "original").alias("n_original"), F.count("*").alias("n"))
+    classes = counted.groupBy("y").agg(F.sum("n").alias("n_class"))
+    return counted.join(classes, "y").select("y", "fold", "n_original", "n_class")
+
+
 @query("learning_curve")
 def learning_curve(spark, sf_dir):
     train, test, features = _encoded(spark, sf_dir)

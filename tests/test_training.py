@@ -85,7 +85,7 @@ def test_ablation_scores_the_same_test_rows_twice(table):
 @pytest.mark.parametrize("leaky", [False, True])
 def test_new_rows_join_the_fold_of_their_base_row(encoded, leaky):
     balanced = SmoteResampler("y", key=["key"], tag="origin").fit_resample_combined(encoded).cache()
-    folded = E._folds(balanced, encoded, "y", ["key"], 3, 42, leaky).toPandas()
+    folded = E.training_folds(balanced, encoded, "y", ["key"], 3, 42, leaky).toPandas()
     assert len(folded) == balanced.count() and set(folded.fold) == {0, 1, 2}
     sizes = folded[folded.origin == "original"].groupby(["y", "fold"]).size().unstack()
     if leaky:
