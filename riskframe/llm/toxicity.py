@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from riskframe.llm import simhash
 from riskframe.llm.common import stored
 from riskframe.llm.tokens import slices
 
@@ -29,12 +30,9 @@ MIN_TEXT_SHARE = 0.01
 MIN_SHARE = 0.9
 STEMS = range(4, 9)
 SPLIT = r"[^\p{L}\p{M}]+"
-#: Smallest hashes of words of at least so many letters by which copies are told, and how many of them.
-LONG_WORD = 9
-COPY_HASHES = 3
 #: Terms kept, the best supported first: the size of the model.
 MAX_TERMS = 5_000
-#: Labelled rows the logistic model is fitted on at most (the lexicon uses all of them).
+#: Labelled groups of near copies the logistic model is fitted on at most (the lexicon uses all of them).
 FIT_ROWS = 20_000
 #: Words left and right of a hit that decide whether it is quoted.
 CONTEXT = 6
@@ -173,10 +171,11 @@ def features(texts: pa.Array, trie: Trie, known: dict[str, int]) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of labelled training rows, one of each group of copies.
+    """(doc_id, text, toxic, group, alone) of all labelled training rows.
 
-    Copies and near copies would make their own rare words look like terms. Texts that share the smallest hash of their
-    long words, under any of ``COPY_HASHES`` seeds, count once: the smallest doc_id stays.
+    Copies and near copies would make their own rare words look like terms. ``group`` names the texts that links of
+    ``simhash.MAX_BITS`` or fewer differing fingerprint bits reach, copies included; a group counts once per label, with the
+    words of all its texts. ``alone`` rows have no other row in their group.
     """
     marks = (
         labels.filter("toxic is not null and doc_id is not null")
@@ -186,32 +185,28 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     marks = stored(marks, "labels")
     hint = F.broadcast if marks.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS else lambda x: x
-    texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    long_words = F.filter(F.split(F.lower("text"), SPLIT), lambda w: F.length(w) >= LONG_WORD)
-    smallest = [
-        F.coalesce(F.array_min(F.transform("long_words", lambda w, k=k: F.xxhash64(F.lit(k), w))), "text_hash").alias(f"h{k}")
-        for k in range(COPY_HASHES)
-    ]
-    marked = texts.join(hint(marks), "doc_id").select(
-        "doc_id", "toxic", long_words.alias("long_words"), F.xxhash64("text").alias("text_hash")
-    )
-    one = stored(marked.select("doc_id", "toxic", *smallest), "labelled")
-    names = one.columns
-    for k in range(COPY_HASHES):
-        one = one.groupBy(f"h{k}").agg(F.min(F.struct(*names)).alias("m")).select("m.*")
-    one = stored(one.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labelled_once")
-    return texts.join(hint(one), "doc_id")
+    texts = docs.select("doc_id", "text").filter("doc_id is not null").join(hint(marks), "doc_id")
+    prints = stored(simhash.with_fingerprints(texts), "label_prints")
+    values = stored(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("rows")), "label_values")
+    parts = simhash.components(simhash.linked(values)).withColumnRenamed("node", "fp")
+    named = values.join(parts, "fp", "left").select("fp", "rows", F.coalesce("component", "fp").alias("group"))
+    named = stored(named, "label_groups")
+    sizes = named.groupBy("group").agg(F.sum("rows").alias("size"))
+    of_value = named.join(sizes, "group").select("fp", "group", (F.col("size") == 1).alias("alone"))
+    keys = stored(prints.select("doc_id", "text_hash", "fp").distinct().join(of_value, "fp").drop("fp"), "labelled")
+    return texts.withColumn("text_hash", F.xxhash64("text")).join(hint(keys), ["doc_id", "text_hash"]).drop("text_hash")
 
 
 def learn_lexicon(train: DataFrame) -> Trie:
-    """Words and stems that occur almost only in toxic texts; all of ``train`` is counted, one row per word leaves a task.
+    """Words and stems that occur almost only in toxic texts; all of ``train`` is counted, a group of near copies once.
 
     A term whose neighbours by one edit are ordinary words (as clean texts show) is matched exactly only.
     """
     split = F.array_distinct(F.split(F.lower("text"), SPLIT))
+    words = train.select("toxic", "group", "alone", F.explode(split).alias("word")).filter("length(word) between 3 and 40")
+    once = words.filter("not alone").select("toxic", "group", "word").distinct()
     counts = stored(
-        train.select("toxic", F.explode(split).alias("word"))
-        .filter("length(word) between 3 and 40")
+        words.filter("alone").select("toxic", "word").unionByName(once.select("toxic", "word"))
         .groupBy("word")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
         .filter("bad > 0 or good > 0"),
@@ -224,7 +219,7 @@ def learn_lexicon(train: DataFrame) -> Trie:
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("forms"))
         .filter("forms > 2")
     )
-    toxic_texts = train.agg(F.sum("toxic")).first()[0] or 0
+    toxic_texts = train.filter("toxic = 1").select("group").distinct().count()
     pure = (F.col("bad") >= max(MIN_TEXTS, MIN_TEXT_SHARE * toxic_texts)) & (F.col("bad") >= MIN_SHARE * (F.col("bad") + F.col("good")))
     best = lambda df: [r.word for r in df.filter(pure).orderBy(F.desc("bad"), "word").limit(MAX_TERMS).collect()]
     found = best(stems)
@@ -291,10 +286,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Trie, np.ndarray]:
     """Lexicon and weights from the labelled rows that aren't held out."""
     train = labelled(docs, labels)
     trie = learn_lexicon(train)
+    # A group is one row of the fit for each label, by the mean hits of its texts.
     sample = (
-        with_features(train.select(F.struct("doc_id", "text", "toxic").alias("row")), trie)
-        .orderBy(F.xxhash64(F.lit(7), "row.doc_id"), "row.doc_id").limit(FIT_ROWS)
-        .select("open", "misspelled", "quoted", "row.toxic").toPandas()
+        with_features(train.select(F.struct("group", "text", "toxic").alias("row")), trie)
+        .groupBy("row.group", "row.toxic").agg(*[F.avg(n).alias(n) for n in ("open", "misspelled", "quoted")])
+        .orderBy(F.xxhash64(F.lit(7), "group"), "group", "toxic").limit(FIT_ROWS)
+        .select("open", "misspelled", "quoted", "toxic").toPandas()
     )
     table = sample.to_numpy(dtype=np.float64).reshape(-1, 4)
     return trie, fit_weights(table[:, :3], table[:, 3])

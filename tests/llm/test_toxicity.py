@@ -1,6 +1,7 @@
 """Automata against edit distance, quotation, and held-out accuracy."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -72,3 +73,19 @@ def test_odd_rows(spark, documents):
     assert len(rows) == documents.count() and all(0 <= r.score < 0.5 for r in rows)
     assert toxicity.score_toxicity(documents, labels.limit(0)).count() == documents.count()
     assert toxicity.score_toxicity(documents.limit(0), labels).count() == 0
+
+
+def test_different_texts_all_count(spark):
+    """Texts that share a long word are no copies: the lexicon learns from all of them, from near copies once."""
+    rng = random.Random(5)
+    made = lambda n: " ".join("".join(rng.choices("bcdfgaeio", k=6)) for _ in range(n))
+    ids = [d for d in range(1, 200) if zlib.crc32(str(d).encode()) % 5]
+    toxic = [(d, f"extraordinary {made(40)} moron {made(40)}") for d in ids[:12]]
+    clean = [(d, f"extraordinary {made(80)}") for d in ids[12:40]]
+    copied = [(d, f"{toxic[0][1]} onlycopied") for d in ids[40:50]]
+    docs = spark.createDataFrame(toxic + clean + copied, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int("moron" in t)) for d, t in toxic + clean + copied], "doc_id long, toxic int")
+    train = toxicity.labelled(docs, labels)
+    assert sorted(r.doc_id for r in train.collect()) == sorted(d for d, _ in toxic + clean + copied)
+    trie = toxicity.learn_lexicon(train)
+    assert trie.exact("moron") and not trie.exact("onlycopied") and not trie.exact("extraordinary")
