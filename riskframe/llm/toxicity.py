@@ -12,6 +12,7 @@ Texts meet the lexicon by their different words: a batch is dictionary-encoded a
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,12 +46,16 @@ BROADCAST_LABELS = 2_000_000
 PRIOR = np.array([3.0, 1.0, 0.5, -3.0])
 
 # Characters written for letters, words of saying in the table's four languages, quotation marks.
-LEET = str.maketrans("013457@$!", "oieastasi")
+LEET_SIGNS = "013457@$!"
+LEET = str.maketrans(LEET_SIGNS, "oieastasi")
 SAYING = {
     "said", "says", "say", "quote", "quoted", "quotes", "wrote", "called", "word", "words", "sagte", "sagt", "zitat",
     "schrieb", "wort", "dit", "disait", "citation", "mot", "dijo", "dice", "cita", "palabra",
 }
 QUOTES = "\"“”„«»‹›‘’"
+#: What a misspelled hit counts in the code of a piece's hits.
+MISSPELLED = 1 << 32
+_HITS = (0, 1, MISSPELLED)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -65,6 +70,16 @@ def bare(piece: str) -> str:
     return word if word.isalpha() else _EDGE.sub("", word)
 
 
+def is_letter(c: str) -> bool:
+    """A letter or a mark, as in ``SPLIT``."""
+    return c.isalpha() or unicodedata.category(c)[0] == "M"
+
+
+def runs(piece: str, extra: str = "") -> list[str]:
+    """The runs of letters in a lower-cased piece, as the lexicon's words are cut; ``extra`` characters count as letters."""
+    return "".join(c if is_letter(c) or c in extra else " " for c in piece.lower()).split()
+
+
 class Trie:
     """Terms with a mark for stems, which also match every longer word."""
 
@@ -116,7 +131,9 @@ class Trie:
 
     def kind(self, piece: str) -> int:
         """0 no hit, 1 a term, 2 a misspelled term."""
-        word = bare(piece)
+        return self.kind_of(bare(piece))
+
+    def kind_of(self, word: str) -> int:
         if len(word) < 3:
             return 0
         if self.exact(word):
@@ -130,6 +147,20 @@ class Trie:
         maybe = any(word[:k] in s for k, s in self.starts.items()) or any(word[-k:] in s for k, s in self.ends.items())
         return 2 if maybe and self.near(word) else 0
 
+    def hits(self, piece: str) -> int:
+        """Terms in a piece, and ``MISSPELLED`` times the misspelled ones: those of its joined words, else of it as a whole.
+
+        Words are cut where the lexicon cuts them, but a character written for a letter first counts as one.
+        """
+        word = bare(piece)
+        if word.isalpha():
+            return _HITS[self.kind_of(word)]
+        found = 0
+        for part in runs(piece, LEET_SIGNS):
+            kind = self.kind(part)
+            found += _HITS[kind] if kind else sum(_HITS[self.kind(r)] for r in runs(part))
+        return found or _HITS[self.kind_of(word)]
+
 
 def is_quoted(pieces: list[str], at: int) -> bool:
     """Between an opening and a closing quotation mark within the window, or beside one mark and a word of saying."""
@@ -150,13 +181,13 @@ def features(texts: pa.Array, trie: Trie, known: dict[str, int]) -> np.ndarray:
     coded = lists.flatten().dictionary_encode()
     if len(known) > KNOWN_WORDS:
         known.clear()
-    kinds = np.empty(len(coded.dictionary), np.int8)
+    kinds = np.empty(len(coded.dictionary), np.int64)
     for k, piece in enumerate(coded.dictionary.to_pylist()):
         kind = known.get(piece)
         if kind is None:
-            kind = known[piece] = trie.kind(piece)
+            kind = known[piece] = trie.hits(piece)
         kinds[k] = kind
-    per_word = kinds[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int8)
+    per_word = kinds[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int64)
     ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
     hits = np.flatnonzero(per_word)
     out = np.zeros((len(texts), 3), np.int64)
@@ -166,7 +197,8 @@ def features(texts: pa.Array, trie: Trie, known: dict[str, int]) -> np.ndarray:
         first = int(ends[text - 1]) if text else 0
         a, b = max(first, hit - CONTEXT), min(int(ends[text]), hit + CONTEXT + 1)
         quoted = is_quoted(words.slice(a, b - a).to_pylist(), hit - a)
-        out[text, 2 if quoted else int(per_word[hit]) - 1] += 1
+        misspelled, exact = divmod(int(per_word[hit]), MISSPELLED)
+        out[text] += (0, 0, exact + misspelled) if quoted else (exact, misspelled, 0)
     return out
 
 

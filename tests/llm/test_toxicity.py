@@ -89,3 +89,10 @@ def test_different_texts_all_count(spark):
     assert sorted(r.doc_id for r in train.collect()) == sorted(d for d, _ in toxic + clean + copied)
     trie = toxicity.learn_lexicon(train)
     assert trie.exact("moron") and not trie.exact("onlycopied") and not trie.exact("extraordinary")
+
+
+def test_words_joined_by_signs():
+    trie = toxicity.Trie(WORDS, [])
+    texts = ["a moron/scum", "you,moron", "so\u2014scum\u2026clown", "a\u00a0moron\fscum\vyes", "m0ron/scum moron!scum", "\u201cyou,moron\u201d", "well-known and/or 3/4", "m*ron"]
+    got = toxicity.features(pa.array(texts), trie, {})
+    assert got.tolist() == [[2, 0, 0], [1, 0, 0], [2, 0, 0], [2, 0, 0], [3, 1, 0], [0, 0, 1], [0, 0, 0], [0, 1, 0]]
