@@ -51,24 +51,40 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: one of n words of which it takes t is there t // n times whole and once
-    with its first t % n words.
+    """The word spans that the mix draws: a row for each, spans of one epoch that touch in a document made one.
+
+    A document of which an epoch takes every word is there whole, with its text as it is; of others the white space between
+    the words of a span stays.
     """
-    keys = ["doc_id", "source", "text_hash"]
-    taken = mixing.mix_sources(docs).select(*keys, "size", "taken")
-    nth = Window.partitionBy(*keys)
-    # Rows that repeat doc_id, source and text share out the takes of that many documents.
-    numbered = taken.withColumn("nth", F.row_number().over(nth.orderBy("taken"))).alias("r")
+    keys = ["doc_id", "source", "text_hash", "copy"]
+    spans = mixing.mix_spans(docs)
+    in_epoch = Window.partitionBy(*keys, "epoch").orderBy("a")
+    fresh = F.when(F.lag("b").over(in_epoch) == F.col("a"), 0).otherwise(1)
+    runs = (
+        spans.withColumn("fresh", fresh)
+        .withColumn("run", F.sum("fresh").over(in_epoch))
+        .groupBy(*keys, "size", "epoch", "run")
+        .agg(F.min("a").alias("a"), F.max("b").alias("b"))
+        .groupBy(*keys, "size")
+        .agg(F.sort_array(F.collect_list(F.struct("epoch", "a", "b"))).alias("runs"))
+        .alias("r")
+    )
     rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
     left = docs.withColumn("text_hash", F.xxhash64("text"))
-    left = left.withColumn("nth", F.row_number().over(nth.orderBy(*rest) if rest else nth.orderBy(F.lit(0)))).alias("l")
-    same = " and ".join([*(f"l.{k} <=> r.{k}" for k in keys), "l.nth = r.nth"])
-    joined = left.join(numbered, F.expr(same)).filter("r.taken > 0")
-    times = F.expr("transform(sequence(1, cast(ceil(r.taken / r.size) as int)), i -> least(r.size, r.taken - (i - 1) * r.size))")
-    parts = joined.select(*[F.col(f"l.`{c}`") for c in docs.columns], F.col("r.size").alias("_size"), F.explode(times).alias("_words"))
-    whole = F.col("_words") == F.col("_size")
-    words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), F.col("_words").cast("int"))
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(words, " "))
+    nth = Window.partitionBy(*keys[:3]).orderBy(*rest if rest else [F.lit(0)])
+    left = left.withColumn("copy", F.row_number().over(nth) - 1).alias("l")
+    joined = left.join(runs, F.expr(" and ".join(f"l.{k} <=> r.{k}" for k in keys)))
+    # The words are bound by a function of one row: named in the inner one, they would be cut anew for every span.
+    words = F.array(F.regexp_extract_all("l.text", F.lit(f"([\\x20\\x09-\\x0D]*{WORD})")))
+
+    def cut(found: Column) -> Column:
+        piece = lambda r: F.array_join(F.slice(found, (r["a"] + 1).cast("int"), (r["b"] - r["a"]).cast("int")), "")
+        bare = lambda r: F.regexp_replace(piece(r), r"^[\x20\x09-\x0D]+", "")
+        return F.transform("r.runs", lambda r: F.when(r["b"] - r["a"] == F.col("r.size"), F.lit(None).cast("string")).otherwise(bare(r)))
+
+    parts = joined.select(*[F.col(f"l.`{c}`") for c in docs.columns], F.explode(F.flatten(F.transform(words, cut))).alias("_part"))
+    whole = F.col("_part").isNull()
+    text = F.coalesce("_part", "text")
     new = {"text": text, "n_chars": F.when(whole, F.col("n_chars")).otherwise(F.length(text).cast("long"))}
     return parts.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 

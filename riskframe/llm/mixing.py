@@ -8,6 +8,8 @@ by source and block number.
 
 A source with target t and size n takes t // n whole epochs (every block once each) and t % n words of a further
 permuted epoch, whose last block is cut. So each source's words are its target, and no word is taken more than twice.
+
+The mix is the word spans of the joined blocks; the counts per document are their sums.
 """
 
 from __future__ import annotations
@@ -73,7 +75,7 @@ def permuted(df: DataFrame, column: str, index: str, n: str, *key: Column, seed:
 
 
 def plan_slots(sources: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
-    """(shard, nth, slot, block, words) of every slot of the mix from the sources' targets.
+    """(shard, nth, slot, epoch, block, words) of every slot of the mix from the sources' targets.
 
     ``words`` is null where the whole block is taken, else the number of its first words.
     """
@@ -154,19 +156,13 @@ def plan_slots(sources: DataFrame, block_words: int, shard_slots: int, seed: int
     )
     slots = permuted(slots, "block", "index", "n", F.col("nth"), F.col("epoch"), seed=seed)
     return slots.select(
-        "shard", "nth", "slot", F.when(F.col("short"), F.col("full")).otherwise(F.col("block")).alias("block"), "words"
+        "shard", "nth", "slot", "epoch", F.when(F.col("short"), F.col("full")).otherwise(F.col("block")).alias("block"), "words"
     )
 
 
-def mix_sources(
-    docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 17, weights=WEIGHTS,
-    share: float = SHARE, limit: int = LIMIT,
-) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, source, text_hash), one row per document.
-
-    Null texts have size 0; documents without words and sources without words take 0. A null source is a source of its
-    own, the last one. Repeated rows are documents of their own: they are merged for the running sums, so that one row
-    repeated for a third of the table meets no single task, and counted apart again. An empty table gives no row.
+def _joined(docs: DataFrame, block_words: int, shard_slots: int, seed: int, weights, share: float, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The targets, and the documents' pieces in blocks with the slots that take them: (nth, doc_id, text_hash, size, copy,
+    shard, slot, epoch, a, b), words a .. b of the document. Pieces that no slot takes have a null slot.
     """
     sized = stored(
         docs.groupBy("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
@@ -210,17 +206,43 @@ def mix_sources(
         )
         .withColumn("a", F.greatest(F.col("start") - F.col("block") * block_words, F.lit(0)))
         .withColumn("b", F.least(F.col("start") + F.col("size") - F.col("block") * block_words, F.lit(block_words)))
-        .select("doc_id", "text_hash", "nth", "size", "copy", "block", "a", "b")
+        .select("doc_id", "text_hash", "nth", "size", "copy", "start", "block", "a", "b")
     )
-    uses = slots.groupBy("nth", "block").agg(
-        F.count(F.when(F.col("words").isNull(), 1)).alias("whole"), F.coalesce(F.sum("words"), F.lit(0)).alias("cut")
+    ahead = F.col("block") * block_words - F.col("start")
+    stop = F.when(F.col("words").isNull(), F.col("b")).otherwise(F.greatest(F.least("words", "b"), "a"))
+    # Slots look small to the planner, which would broadcast all of them.
+    joined = pieces.join(slots.hint("merge"), ["nth", "block"], "left").select(
+        "nth", "doc_id", "text_hash", "size", "copy", "shard", "slot", "epoch", (ahead + F.col("a")).alias("a"), (ahead + stop).alias("b")
     )
-    taken = F.col("whole") * (F.col("b") - F.col("a")) + F.greatest(F.least("cut", "b") - F.col("a"), F.lit(0))
-    summed = (
-        pieces.join(uses, ["nth", "block"], "left")
-        .groupBy("nth", "doc_id", "text_hash", "size", "copy")
-        .agg(F.coalesce(F.sum(taken), F.lit(0)).cast("long").alias("taken"))
+    return sources, joined
+
+
+def mix_spans(
+    docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 17, weights=WEIGHTS,
+    share: float = SHARE, limit: int = LIMIT,
+) -> DataFrame:
+    """(shard, slot, epoch, doc_id, source, text_hash, size, copy, a, b): the mix, words a .. b of a document for every document in
+    a slot's block. Repeated rows are told apart by ``copy`` (0, 1, ..). Within an epoch no word is taken twice.
+    """
+    sources, joined = _joined(docs, block_words, shard_slots, seed, weights, share, limit)
+    return joined.filter("slot is not null and a < b").join(sources.select("nth", "source"), "nth").select(
+        "shard", "slot", "epoch", "doc_id", "source", "text_hash", "size", "copy", "a", "b"
     )
+
+
+def mix_sources(
+    docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 17, weights=WEIGHTS,
+    share: float = SHARE, limit: int = LIMIT,
+) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, source, text_hash), one row per document: the words of its spans in the mix.
+
+    Null texts have size 0; documents without words and sources without words take 0. A null source is a source of its
+    own, the last one. Repeated rows are documents of their own: they are merged for the running sums, so that one row
+    repeated for a third of the table meets no single task, and counted apart again. An empty table gives no row.
+    """
+    sources, joined = _joined(docs, block_words, shard_slots, seed, weights, share, limit)
+    words = F.when(F.col("slot").isNotNull(), F.col("b") - F.col("a"))
+    summed = joined.groupBy("nth", "doc_id", "text_hash", "size", "copy").agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"))
     return summed.join(sources.select("nth", "source", "source_size", "target"), "nth").select(
         "doc_id", "size", "source_size", "target", "taken", "source", "text_hash"
     )

@@ -92,3 +92,20 @@ def test_slots_meet_blocks(spark):
     assert len({s.block for s in by[2]}) == 3 and not any(s.words for s in by[2])
     assert all(sorted(s.slot for s in v) == list(range(len(v))) for v in by.values())
     assert len({s.shard for s in slots}) == 6
+
+
+def test_spans_are_the_mix(spark, documents):
+    """Spans lie in their documents, no epoch takes a word twice, and the counts are their sums."""
+    spans = mixing.mix_spans(documents, block_words=3, shard_slots=5).collect()
+    taken, seen = collections.Counter(), set()
+    for r in spans:
+        assert 0 <= r.a < r.b <= r.size and r.b - r.a <= 3 and r.shard is not None
+        key = (r.doc_id, r.source, r.text_hash, r.copy, r.epoch)
+        for w in range(r.a, r.b):
+            assert (key, w) not in seen
+            seen.add((key, w))
+        taken[r.doc_id, r.source, r.text_hash] += r.b - r.a
+    want = collections.Counter()
+    for r in mixing.mix_sources(documents, block_words=3, shard_slots=5).collect():
+        want[r.doc_id, r.source, r.text_hash] += r.taken
+    assert taken == +want

@@ -81,3 +81,19 @@ def test_run(spark):
     assert ids and ids <= set(docs)
     digests = collections.Counter(hashlib.sha256((docs[d] or "").encode()).digest() for d in ids)
     assert max(digests.values()) == 1
+
+
+def test_mix_writes_the_drawn_spans(spark):
+    """The words of the stage are those of the mix's spans, tails of documents included, and its text is cut from theirs."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r for r in docs.collect()}
+    drawn = collections.Counter()
+    tails = 0
+    for r in pipeline.mixing.mix_spans(docs).collect():
+        drawn.update((r.doc_id, w) for w in words(rows[r.doc_id].text)[r.a : r.b])
+        tails += r.b == r.size and r.a > 0
+    written = collections.Counter()
+    for r in pipeline.mix_sources(spark, docs, SF).collect():
+        assert r.text in rows[r.doc_id].text
+        written.update((r.doc_id, w) for w in words(r.text))
+    assert written == drawn and tails
