@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm import ann, embed_dedup, html_text, mixing, packing, repeats, rollups, simhash, token_store, toxicity
+from riskframe.llm import ann, decontaminate, embed_dedup, fim, html_text, mixing, packing, repeats, rollups, simhash, token_store, toxicity, whitening
 from riskframe.llm.common import stored
 from riskframe.session import scratch_path
 
@@ -70,6 +70,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contamination(decontaminate.find_windows(_documents(spark, sf_dir), benchmark))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform_documents(_documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ann": op2_ann,
@@ -81,9 +95,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array": op8_suffix_array,
     "op9_token_counts": op9_token_counts,
     "op10_mixing": op10_mixing,
+    "op11_decontamination": op11_decontamination,
+    "op12_whitening": op12_whitening,
+    "op13_fim": op13_fim,
 }
-#: Every pair compared, and every 200-byte string written out: small tables only. The other operators need a tokenizer, a
-#: hash, a learned model or a seeded draw that SQL hasn't, and are tested against brute force.
+#: Every pair compared, and every 200-byte string and every window written out: small tables only. The other operators need
+#: a tokenizer, a hash, a learned model, eigenvectors or a seeded draw that SQL hasn't, and are tested against brute force.
 ORACLES: dict[str, str] = {
     "op7_embedding_dedup": """WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
@@ -106,4 +123,25 @@ cut AS (SELECT r, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) A
 SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(
   coalesce(head, '') || CASE WHEN octet_length(b) > coalesce(last, 0) THEN hex(b[coalesce(last, 0) + 1 : octet_length(b)]) ELSE '' END)) AS kept_sha256
 FROM t LEFT JOIN cut USING (r)""",
+    "op11_decontamination": r"""WITH w AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0),
+p AS MATERIALIZED (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i + 1 : i + 10], ' ') AS t FROM s),
+c AS (SELECT r, w, k, unnest(range(len(w) - k + 1)) AS i FROM w, (SELECT DISTINCT k FROM p)),
+hits AS MATERIALIZED (SELECT r, i, c.k, item_id FROM c JOIN p ON p.k = c.k AND p.t = array_to_string(c.w[i + 1 : i + c.k], ' ')),
+words AS (SELECT r, count(DISTINCT i + j) AS n FROM (SELECT r, i, unnest(range(k)) AS j FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(t, ',' ORDER BY t) AS t FROM (SELECT DISTINCT r, item_id::VARCHAR AS t FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w.w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(items.t, '')) AS items_sha256,
+  words.n IS NOT NULL AS contaminated FROM w LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+    "op13_fim": r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+  sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+d AS (SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS c2,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+    WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT doc_id, n, t, form, coalesce(array_to_string(u[1 : least(c1, c2)], ''), '') AS p,
+  coalesce(array_to_string(u[least(c1, c2) + 1 : greatest(c1, c2)], ''), '') AS m, coalesce(array_to_string(u[greatest(c1, c2) + 1 : n], ''), '') AS s FROM d)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p""",
 }
