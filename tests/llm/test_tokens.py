@@ -47,6 +47,18 @@ def test_a_full_cache_changes_nothing():
     assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_any_vocabulary_gives_the_ids_of_whole_texts(name):
+    import public_tokenizers
+
+    made = PieceEncoder(public_tokenizers.path(name))
+    assert made.apart == name.startswith("word")
+    texts = ["two words", "", " lead and trail ", "line\none, don't.  Two", "É 日本 x"]
+    ids, counts = made.encode(pa.array(texts))
+    want = [made.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_pieces_hold_every_id_once(spark, documents):
     length = 64
     pieces = packing.pack_documents(documents.repartition(3), length=length, with_ids=True)
