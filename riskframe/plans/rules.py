@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.functions import binning, risk, text
-from riskframe.operators import gates, rows, triggers
+from riskframe.operators import drift, gates, rows, triggers
 from riskframe.operators.orderstats import auc
+from riskframe.plans.encoding import DECILES
 from riskframe.plans.profiles import SCORED_SQL, scored
 from riskframe.plans.registry import big, query, r6, round_columns, table
+from riskframe.plans.stability import SQL_LABEL
 from riskframe.plans.views import (
     APPLICATIONS_SQL, EMPLOYER_RISK_SQL, PD_SQL, applications, sql_clip, with_pd,
 )
+from riskframe.session import scratch_path
+from riskframe.sources.runs import RunRegistry
 
 _LGD_SQL = sql_clip(
     """0.4::DOUBLE + 0.1::DOUBLE * CASE WHEN product_type = 'Vehicle Loan' THEN 0::DOUBLE ELSE 1::DOUBLE END
@@ -219,27 +223,98 @@ def promotion(spark, sf_dir):
     return triggers.promote(all_versions, newest).select("name", "version", "stage")
 
 
-@query("retrain_decision", f"""WITH {_VERSIONS_SQL}, m AS (SELECT 'model_' || c_custkey AS name,
+# --- drift of a portfolio against the reference of the model version in production ------------------
+
+PORTFOLIO_MODEL = "portfolio_model"
+_PORTFOLIO_DAY = "1998-07-01"
+#: Recent orders of this segment are dearer than they were.
+_DEARER, _FACTOR = "BUILDING", 1.6
+
+
+def _portfolio_orders(spark, sf_dir):
+    """Orders with their customer's segment and whether they are recent; the prices of one segment have risen."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    recent = F.col("o_orderdate") >= F.lit(_PORTFOLIO_DAY).cast("timestamp_ntz")
+    price = F.col("o_totalprice")
+    risen = F.when(recent & (F.col("c_mktsegment") == _DEARER), price * F.lit(_FACTOR)).otherwise(price)
+    return orders.select("c_mktsegment", recent.alias("recent"), risen.alias("o_totalprice"), F.col("c_acctbal"))
+
+
+def portfolio_registry(spark, sf_dir):
+    """A registry whose version in production keeps the drift reference of its training time, per segment."""
+    registry = RunRegistry(spark, scratch_path(spark, "portfolio_registry"))
+    past = _portfolio_orders(spark, sf_dir).where("not recent")
+    run = registry.begin("portfolio-1")
+    run.write("drift_reference", drift.fit_reference(past, ["o_totalprice", "c_acctbal"], "c_mktsegment").coalesce(1))
+    run.commit(PORTFOLIO_MODEL)
+    return registry
+
+
+def current_drift(spark, sf_dir):
+    """Recent orders against the reference that is kept with the version in production."""
+    registry = portfolio_registry(spark, sf_dir)
+    reference = registry.read(registry.production_run(PORTFOLIO_MODEL), "drift_reference")
+    return drift.reference_drift(reference, _portfolio_orders(spark, sf_dir).where("recent"), "c_mktsegment")
+
+
+def _sql_drift() -> str:
+    parts = [f"""SELECT c_mktsegment AS portfolio, '{f}' AS feature, {f} AS v, recent FROM po WHERE {f} IS NOT NULL""" for f in ("o_totalprice", "c_acctbal")]
+    return f"""po AS (SELECT c_mktsegment, c_acctbal, o_orderdate >= TIMESTAMP '{_PORTFOLIO_DAY}' AS recent,
+    CASE WHEN o_orderdate >= TIMESTAMP '{_PORTFOLIO_DAY}' AND c_mktsegment = '{_DEARER}' THEN o_totalprice * {_FACTOR}::DOUBLE ELSE o_totalprice END AS o_totalprice
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+vals AS ({' UNION ALL '.join(parts)}),
+qs AS (SELECT portfolio, feature, list_sort(list_distinct(quantile_cont(v, {DECILES}))) AS e FROM vals WHERE NOT recent GROUP BY ALL),
+dbins AS (SELECT portfolio, feature, (i - 1)::INT AS bin_id, CASE WHEN i = 1 THEN '-infinity'::DOUBLE ELSE e[i] END AS lo,
+    CASE WHEN i = len(e) - 1 THEN 'infinity'::DOUBLE ELSE e[i + 1] END AS hi FROM (SELECT *, unnest(range(1, len(e))) AS i FROM qs)),
+dn AS (SELECT b.portfolio, b.feature, b.bin_id, lo, count(*) FILTER (WHERE NOT recent) AS n_ref, count(*) FILTER (WHERE recent) AS n_cur
+  FROM dbins b LEFT JOIN vals v ON v.portfolio = b.portfolio AND v.feature = b.feature AND v.v >= b.lo AND v.v < b.hi GROUP BY ALL),
+dshare AS (SELECT *, CASE WHEN n_ref = 0 THEN 0.0001::DOUBLE ELSE n_ref / sum(n_ref) OVER w END AS r,
+    CASE WHEN n_cur = 0 THEN 0.0001::DOUBLE ELSE n_cur / sum(n_cur) OVER w END AS c FROM dn WINDOW w AS (PARTITION BY portfolio, feature)),
+drift AS (SELECT portfolio, feature, sum(n_cur)::BIGINT AS n_cur, sum((c - r) * ln(c / r)) AS psi FROM dshare GROUP BY portfolio, feature)"""
+
+
+@query("portfolio_reference", f"""WITH {_sql_drift()} SELECT portfolio, feature, bin_id, CASE WHEN isinf(lo) THEN NULL ELSE round(lo, 6) END AS lo, n_ref,
+  round(n_ref / sum(n_ref) OVER (PARTITION BY portfolio, feature), 6) AS share FROM dn""")
+def portfolio_reference(spark, sf_dir):
+    """The reference as a reader finds it in the registry: edges and shares per segment and feature."""
+    registry = portfolio_registry(spark, sf_dir)
+    rows = registry.read(registry.production_run(PORTFOLIO_MODEL), "drift_reference")
+    low = F.when(F.col("lo") != F.lit(float("-inf")), r6("lo"))
+    return rows.select("portfolio", "feature", "bin_id", low.alias("lo"), "n_ref", r6("share").alias("share"))
+
+
+@query("portfolio_drift", f"WITH {_sql_drift()} SELECT portfolio, feature, n_cur, round(psi, 6) AS psi, {SQL_LABEL.format(v='psi')} AS interpretation FROM drift")
+def portfolio_drift(spark, sf_dir):
+    return current_drift(spark, sf_dir).withColumn("psi", r6("psi"))
+
+
+@query("retrain_decision", f"""WITH {_VERSIONS_SQL}, {_sql_drift()}, m AS (SELECT 'model_' || c_custkey AS name, c_mktsegment AS portfolio,
     3::DOUBLE + (c_custkey % 30)::DOUBLE / 10::DOUBLE AS u, 6::DOUBLE + (c_custkey % 25)::DOUBLE / 10::DOUBLE AS i FROM customer),
-j AS (SELECT m.name, u, i, version, floor(({AS_OF_DAY}::BIGINT * 86400000 - creation_timestamp) / 86400000)::BIGINT AS days FROM m LEFT JOIN latest USING (name)),
+over AS (SELECT portfolio, string_agg(feature, ', ' ORDER BY feature) AS names FROM drift WHERE round(psi, 6) > 0.25 GROUP BY portfolio),
+j AS (SELECT m.name, u, i, version, names, floor(({AS_OF_DAY}::BIGINT * 86400000 - creation_timestamp) / 86400000)::BIGINT AS days
+  FROM m LEFT JOIN latest USING (name) LEFT JOIN over USING (portfolio)),
 reasons AS (SELECT name, concat_ws(' | ', CASE WHEN version IS NULL THEN 'No model named ' || name || ' found in MLflow.'
     WHEN days > 90 THEN 'Model is ' || days || ' days old (Threshold: 90).' END,
-  CASE WHEN u > 5 THEN 'Unemployment spiked to ' || u || '%' WHEN i > 8 THEN 'Inflation spiked to ' || i || '%' END) AS r FROM j)
+  CASE WHEN u > 5 THEN 'Unemployment spiked to ' || u || '%' WHEN i > 8 THEN 'Inflation spiked to ' || i || '%' END,
+  CASE WHEN names IS NOT NULL THEN 'Drift above 0.25 in ' || names || '.' END) AS r FROM j)
 SELECT name, r <> '' AS should_retrain, CASE WHEN r <> '' THEN r ELSE 'All checks pass. Model is stable.' END AS reason,
   json_object('should_retrain', r <> '', 'reason', CASE WHEN r <> '' THEN r ELSE 'All checks pass. Model is stable.' END)::VARCHAR AS decision FROM reasons""")
 def retrain_decision(spark, sf_dir):
+    """Age, macro figures and drift of the customer's segment; any of them alone starts a retrain."""
     from riskframe.sources.tables import decision_json
 
     key = F.col("c_custkey")
     models = table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("model_"), key).alias("name"),
+        F.concat(F.lit("model_"), key).alias("name"), F.col("c_mktsegment").alias("portfolio"),
         (F.lit(3.0) + (key % 30) / F.lit(10.0)).alias("u"), (F.lit(6.0) + (key % 25) / F.lit(10.0)).alias("i"),
     )
     age = triggers.model_age_trigger(models, versions(spark, sf_dir), AS_OF_DAY * triggers.MS_PER_DAY)
-    joined = models.join(age.select("name", F.struct("triggered", "reason").alias("age")), "name")
+    drifted = drift.portfolio_triggers(current_drift(spark, sf_dir)).select("portfolio", F.struct("triggered", "reason").alias("drift"))
+    joined = models.join(age.select("name", F.struct("triggered", "reason").alias("age")), "name").join(drifted, "portfolio", "left")
+    unknown = F.struct(F.lit(False).alias("triggered"), F.lit(drift.NO_DRIFT).alias("reason"))
     macro = triggers.macro_trigger(F.col("u"), F.col("i"))
-    drift = F.struct(F.lit(False).alias("triggered"), F.lit("").alias("reason"))
-    decided = joined.select("name", triggers.decision([F.col("age"), macro, drift]).alias("d")).select("name", "d.*")
+    legs = [F.col("age"), macro, F.coalesce("drift", unknown)]
+    decided = joined.select("name", triggers.decision(legs).alias("d")).select("name", "d.*")
     return decided.withColumn("decision", decision_json(should_retrain=F.col("should_retrain"), reason=F.col("reason")))
 
 

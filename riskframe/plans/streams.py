@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from riskframe.operators import drift
 from riskframe.operators.scorecard import LinearScorecard
 from riskframe.operators.scoring import Scorer
 from riskframe.operators.woe import WoETransformer
@@ -23,8 +26,11 @@ def _stream(spark, sf_dir):
 
 
 def _reference(spark, sf_dir):
+    """The reference of the stream is one that was written as a table, as a batch check would read it."""
     past = table(spark, sf_dir, "events").where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
-    return streams.DriftReference.fit(past, "value")
+    path = scratch_path(spark, "stream_reference")
+    drift.fit_reference(past, ["value"]).coalesce(1).write.parquet(path)
+    return streams.DriftReference.of_table(spark.read.parquet(path), "value")
 
 
 def _paths(spark, name):
@@ -100,3 +106,31 @@ def stream_scores(spark, sf_dir):
     requests = _stream(spark, sf_dir).select("event_id", "event_type", "value", F.lit(40).alias("age"), F.lit(1.0).alias("loan_amount"))
     streams.start_scoring(requests, scorer, path, checkpoint).awaitTermination()
     return spark.read.parquet(path).select("event_id", r6("probability").alias("probability"), "grade")
+
+
+@query("stream_late_rows", """WITH late AS (SELECT * FROM events WHERE event_id % 7 = 0),
+n AS (SELECT (SELECT count(value) FROM events) + (SELECT count(value) FROM events WHERE event_id = (SELECT max(event_id) FROM events)) AS in_time,
+  (SELECT count(value) FROM late WHERE date_trunc('day', ts) + INTERVAL 1 DAY > (SELECT max(ts) FROM events) - INTERVAL 1 HOUR) AS still_open,
+  (SELECT count(value) FROM late WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR) AS closed)
+SELECT in_time + still_open + closed AS n_input, in_time + still_open AS n_counted, closed AS n_late FROM n""")
+def stream_late_rows(spark, sf_dir):
+    """Every seventh event arrives a second time behind all others: those of closed days are late, those of the last day aren't.
+
+    A batch drops what is late by the time of the batch before its predecessor, so one event comes again in between.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    newest = events.agg(F.max("event_id")).first()[0]
+    folder = scratch_path(spark, "late_events")
+    for part in (events, events.where(F.col("event_id") == newest), events.where("event_id % 7 = 0")):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    stream = streams.with_event_time(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder))
+    path, checkpoint = _paths(spark, "late_counts")
+    reports = streams.InputReports(spark, f"late_{uuid.uuid4().hex}", scratch_path(spark, "late_reports"))
+    spark.streams.addListener(reports)
+    try:
+        query = streams.start_window_counts(stream, _reference(spark, sf_dir), path, checkpoint, name=reports.name)
+        query.awaitTermination()
+        reports.wait(query)
+    finally:
+        spark.streams.removeListener(reports)
+    return streams.late_rows(spark, path, reports.path)

@@ -91,3 +91,93 @@ def test_a_repeated_batch_replaces_itself(spark):
     for _ in range(2):
         sink(spark.range(5), 7)
     assert spark.read.parquet(path).count() == 5
+
+
+# --- merging ---------------------------------------------------------------------------------------
+
+
+def files_read(df):
+    return len(df.inputFiles())
+
+
+def test_a_hundred_batches_are_read_from_a_few_files(spark):
+    """Running counts of keys that come and go: always the last values, from no more files than two merges' worth."""
+    path = scratch_path(spark, "state")
+    write_batch = S._write_batch(path, keys=["k"], merge_every=10)
+    want, seen = {}, []
+    for batch in range(100):
+        rows = [(k, 1000 * batch + k) for k in range(batch % 3, 12, 3)]
+        want.update(rows)
+        write_batch(spark.createDataFrame(rows, "k long, n long").coalesce(1), batch)
+        if batch % 7 == 0 or batch == 99:
+            now = S.last_values(spark, path, ["k"], "k long, n long")
+            assert {r["k"]: r["n"] for r in now.collect()} == want
+            seen.append(files_read(now))
+    assert max(seen[3:]) <= 9 + 8 and max(seen[7:]) <= max(seen[3:7])
+    assert len([n for n in S.files.names(spark, path) if n.startswith("batch_id=")]) <= 20
+    assert len(S.files.names(spark, f"{path}/{S.MERGED}/pointers")) <= 2
+
+
+def test_merging_again_changes_nothing(spark):
+    """A batch that is repeated after its merge, as after a driver that died between the two."""
+    path = scratch_path(spark, "state")
+    write_batch = S._write_batch(path, keys=["k"], merge_every=3)
+    for batch in range(6):
+        write_batch(spark.createDataFrame([(batch % 2, batch)], "k long, n long"), batch)
+    before = sorted(map(tuple, S.last_values(spark, path, ["k"], "k long, n long").collect()))
+    write_batch(spark.createDataFrame([(1, 5)], "k long, n long"), 5)
+    assert sorted(map(tuple, S.last_values(spark, path, ["k"], "k long, n long").collect())) == before == [(0, 4, 4), (1, 5, 5)]
+
+
+def test_a_merge_that_died_before_its_pointer_is_not_read(spark, monkeypatch):
+    path = scratch_path(spark, "state")
+    write_batch = S._write_batch(path, keys=["k"], merge_every=2)
+    write_batch(spark.createDataFrame([(1, 10)], "k long, n long"), 0)
+
+    def dies(*_):
+        raise SystemExit
+
+    monkeypatch.setattr(S.files, "put_once", dies)
+    with pytest.raises(SystemExit):
+        write_batch(spark.createDataFrame([(1, 11)], "k long, n long"), 1)
+    monkeypatch.undo()
+    assert S.last_values(spark, path, ["k"], "k long, n long").first()["n"] == 11
+    write_batch(spark.createDataFrame([(1, 12)], "k long, n long"), 1)
+    assert [tuple(r) for r in S.last_values(spark, path, ["k"], "k long, n long").collect()] == [(1, 12, 1)]
+
+
+def test_nothing_written_yet(spark):
+    path = scratch_path(spark, "state")
+    assert S.last_values(spark, path, ["k"], "k long, n long").count() == 0
+    assert S.latest_counters(spark, path).count() == 0 and S.latest_counts(spark, path).count() == 0
+
+
+# --- late rows -------------------------------------------------------------------------------------
+
+
+def test_late_rows_are_counted(spark, source):
+    """Three late rows among seven parts, over a restart of the stream."""
+    ref = reference(spark)
+    counts, checkpoint, reports = (scratch_path(spark, n) for n in ("counts", "cp", "reports"))
+
+    def go(name):
+        listener = S.InputReports(spark, name, reports, merge_every=2)
+        spark.streams.addListener(listener)
+        try:
+            query = S.start_window_counts(stream(spark, source), ref, counts, checkpoint, name=name, merge_every=2)
+            query.awaitTermination()
+            listener.wait(query)
+        finally:
+            spark.streams.removeListener(listener)
+        return tuple(S.late_rows(spark, counts, reports).first())
+
+    for h in (0, 30, 100):
+        write(spark, source, [(h, 1.0), (h + 1, 2.0)])
+    assert go("first") == (6, 6, 0)
+    write(spark, source, [(1, 1.0), (2, 5.0), (101, 3.0)])  # two of a closed day, one of the open one
+    write(spark, source, [(31, 1.0)])
+    assert go("second") == (10, 7, 3)
+
+
+def test_late_rows_of_a_stream_that_has_not_run(spark):
+    assert tuple(S.late_rows(spark, scratch_path(spark, "a"), scratch_path(spark, "b")).first()) == (0, 0, 0)
