@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from riskframe.operators.woe import WoETransformer
+from riskframe.operators.woe_stage import WoEEncoder
 from riskframe.plans.registry import big, query, r6, table
 from riskframe.plans.views import (
     CREDIT_CATEGORIES, CREDIT_NUMERIC, CREDIT_SQL, EARLY_SQL, LATE_SQL, LINE_KEY, credit, early, late,
@@ -161,6 +163,16 @@ def encoder_roundtrip(spark, sf_dir):
     return _apply(WoETransformer.load(spark, path), spark, sf_dir)
 
 
+@query("woe_stage", _TRANSFORM_SQL)
+def woe_stage(spark, sf_dir):
+    """The encoder as a stage of a fitted pipeline that was saved and loaded."""
+    train = early(credit(spark, sf_dir)).select(*FEATURES, "y")
+    path = scratch_path(spark, "woe_pipeline")
+    Pipeline(stages=[WoEEncoder(inputCols=FEATURES, labelCol="y", ivThreshold=0.0)]).fit(train).save(path)
+    encoded = PipelineModel.load(path).transform(late(credit(spark, sf_dir)))
+    return encoded.select(*LINE_KEY, "y", *[r6(f"{c}_woe").alias(c) for c in FEATURES])
+
+
 _LABELS_SQL = """labelled AS (
   SELECT CASE WHEN lang <> 'fr' THEN lang END AS lang, source, n_chars, 1 - quality AS y
   FROM documents LEFT JOIN labels USING (doc_id))"""
