@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -17,12 +18,13 @@ from pyspark.ml.linalg import DenseMatrix
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskframe.functions.hashing import uniform
 from riskframe.operators.orderstats import auc
 from riskframe.operators.passes import spread_small
 from riskframe.operators.profile import f1_score
 from riskframe.operators.sampling import draw_parameters
 from riskframe.operators.scorecard import LinearScorecard
-from riskframe.session import checkpoint_root, scratch_path
+from riskframe.session import checkpoint_root, cut_lineage, scratch_path
 
 FEATURES = "__features"
 # Settings of the gate model and the grid of the tuned one.
@@ -36,6 +38,9 @@ TUNING_GRID = {
 }
 TUNING_DRAWS = 10
 TUNING_FOLDS = 3
+# The run that shows the learning curve.
+EARLY_STOPPING_PARAMS = {"maxIter": 100, "maxDepth": 4, "stepSize": 0.05}
+PATIENCE = 10
 # Words that mark a feature whose rise must not raise the risk.
 MONOTONE_WORDS = ["income", "pendapatan"]
 
@@ -96,6 +101,102 @@ def learning_curve(model: PipelineModel, frames: Mapping[str, DataFrame], label:
     return df.sparkSession.createDataFrame(rows, "dataset string, round int, log_loss double")
 
 
+def _margins(trees: Sequence[_Tree], x: np.ndarray) -> np.ndarray:
+    """Log-odds after every tree: one row per row of ``x``, one column per tree."""
+    total = np.zeros((len(x), len(trees)))
+    rows = np.arange(len(x))
+    for t, tree in enumerate(trees):
+        node = np.zeros(len(x), dtype=np.int64)
+        while True:
+            f = tree.feature[node]
+            inner = f >= 0
+            if not inner.any():
+                break
+            left = x[rows, np.maximum(f, 0)] <= tree.cut[node]
+            node = np.where(inner, np.where(left, tree.left[node], tree.right[node]), node)
+        total[:, t] = tree.value[node]
+    return total.cumsum(axis=1)
+
+
+def staged_margins(model: PipelineModel, df: DataFrame, name: str = "margins", suffix: str = "") -> DataFrame:
+    """``df`` with the log-odds of each row after every boosting round, as one array."""
+    trees = tree_arrays(model.stages[1])
+
+    @F.pandas_udf("array<double>")
+    def margins(vectors: pd.Series) -> pd.Series:
+        # Encoded rows repeat; each different one goes through the trees once.
+        x, at = np.unique(np.stack(vectors.to_numpy()), axis=0, return_inverse=True)
+        return pd.Series(list(_margins(trees, x)[at.ravel()]))
+
+    return df.withColumn(name, margins(F.array(*[F.col(f + suffix).cast("double") for f in feature_names(model)])))
+
+
+def staged_log_loss(df: DataFrame, label: str, margins: str = "margins", by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, round, log_loss)`` from arrays of log-odds; rows without a label are left out."""
+    long = df.where(F.col(label).isNotNull()).select(*by, F.col(label).alias("__y"), F.posexplode(margins).alias("round", "__m"))
+    wrong = F.when(F.col("__y") == 1, -F.col("__m")).otherwise(F.col("__m"))
+    loss = F.greatest(wrong, F.lit(0.0)) + F.log1p(F.exp(-F.abs(wrong)))
+    return long.groupBy(*by, "round").agg(F.avg(loss).alias("log_loss"))
+
+
+def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, int]:
+    """(best, last): the round with the lowest loss, and the one where ``patience`` rounds had brought nothing lower."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            return best, i
+    return best, len(losses) - 1
+
+
+def first_rounds(model: PipelineModel, rounds: int) -> PipelineModel:
+    """The model of the first ``rounds`` trees: its saved form with the later trees left out."""
+    assembler, gbt = model.stages
+    spark = SparkSession.getActiveSession()
+    whole, cut = scratch_path(spark, "trees"), scratch_path(spark, "first_trees")
+    gbt.save(whole)
+    for part in ("data", "treesMetadata"):
+        table = spark.read.parquet(f"{whole}/{part}")
+        number = "treeID" if "treeID" in table.columns else table.columns[0]  # the saved columns may have no names
+        table.where(F.col(number) < rounds).write.parquet(f"{cut}/{part}")
+    state = json.loads(spark.read.text(f"{whole}/metadata").first()[0])
+    state["numTrees"] = rounds
+    spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.text(f"{cut}/metadata")
+    return PipelineModel([assembler, GBTClassificationModel.load(cut)])
+
+
+def train_early_stopped(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    key: Sequence[str],
+    params: Mapping = EARLY_STOPPING_PARAMS,
+    patience: int = PATIENCE,
+    validation_share: float = 0.3,
+    seed: int = 42,
+) -> tuple[PipelineModel, DataFrame]:
+    """Boosted trees that end where the validation rows gain nothing more: the model of the best round, and the curve.
+
+    A row is a validation row by a hash of its ``key``. The curve is ``(dataset, round, log_loss, best)`` of both parts up to
+    the round at which ``patience`` rounds had passed without a lower validation loss. All rounds are fitted first; margins
+    of every round are written once, and both the choice and the curve are read from them.
+    """
+    held = uniform(seed, F.lit("validation"), *key) < F.lit(validation_share)
+    marked = cut_lineage(df.withColumn("__held", held))
+    model = train_gbt(marked.where("not __held"), features, label, params, seed)
+    path = scratch_path(df.sparkSession, "margins")
+    dataset = F.when(F.col("__held"), F.lit("validation")).otherwise(F.lit("train"))
+    staged_margins(model, marked).select(dataset.alias("dataset"), F.col(label).alias("label"), "margins").write.parquet(path)
+    curve = cut_lineage(staged_log_loss(df.sparkSession.read.parquet(path), "label", by=["dataset"]))
+    losses = [r["log_loss"] for r in curve.where("dataset = 'validation'").orderBy("round").collect()]  # one per round
+    if not losses:
+        raise ValueError("no validation row: the table is empty or its share too small")
+    best, last = stopping_round(losses, patience)
+    shown = curve.where(F.col("round") <= last).withColumn("best", F.col("round") == best)
+    return first_rounds(model, best + 1), shown
+
+
 # --- monotone scorecard ----------------------------------------------------------------------------
 
 
@@ -122,6 +223,16 @@ def train_scorecard(
     return LinearScorecard(list(features), [float(c) for c in model.coefficients], float(model.intercept), [float(means[f]) for f in features])
 
 
+def naive_scorecard(encoded: DataFrame, features: Sequence[str], label: str) -> LinearScorecard:
+    """Log-odds of the whole population minus the sum of the WoE values: features taken as independent, nothing to fit."""
+    positive = F.col(label).cast("double")
+    row = encoded.agg(F.sum(positive).alias("__pos"), F.count(positive).alias("__n"), *[F.avg(f).alias(f) for f in features]).first()
+    events, others = row["__pos"] or 0.0, row["__n"] - (row["__pos"] or 0.0)
+    if not events or not others:
+        raise ValueError(f"'{label}' needs rows of both classes")
+    return LinearScorecard(list(features), [-1.0] * len(features), math.log(events / others), [float(row[f]) for f in features])
+
+
 def monotonicity_audit(scored: DataFrame, row_key: Sequence[str], feature: str, probability: str = "probability", direction: int = -1) -> DataFrame:
     """One row ``(n_steps, n_violations)`` over a sweep: steps of one row's feature that move the wrong way."""
     from pyspark.sql import Window

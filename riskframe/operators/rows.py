@@ -30,6 +30,7 @@ NEGATIVE_INCOME = "Negative monthly income"
 INVALID_LOAN = "Invalid loan amount"
 LTV_BOUNDS = "LTV out of bounds"
 AGE_AT_MATURITY = "Usia saat pelunasan melebihi batas (80 tahun)"
+REASONS = [INVALID_AGE, NEGATIVE_INCOME, INVALID_LOAN, LTV_BOUNDS, AGE_AT_MATURITY]
 
 
 def drop_if_present(df: DataFrame, names: Sequence[str] = LEAKAGE_COLUMNS) -> DataFrame:

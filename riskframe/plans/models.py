@@ -1,4 +1,4 @@
-"""Training queries (rows only: learners have no SQL twin)."""
+"""Training queries. Tree learners have no SQL twin; the registry is checked with a scorecard that SQL can fit."""
 
 from __future__ import annotations
 
@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 from riskframe.operators import evaluation, models, scoring
 from riskframe.operators.orderstats import auc
 from riskframe.operators.profile import attribution_summary
-from riskframe.operators.sampling import SmoteResampler, assign_folds, hash_sample, stratified_flag
+from riskframe.operators.sampling import SmoteResampler, assign_folds, hash_sample, stratified_flag, stratified_split
 from riskframe.operators.woe import WoETransformer
-from riskframe.plans.encoding import FEATURES
+from riskframe.plans.encoding import FEATURES, sql_evidence, sql_in_bin
 from riskframe.plans.registry import query, r6
 from riskframe.plans.scores import records
-from riskframe.plans.views import CREDIT_SQL, LINE_KEY, credit, early, late
-from riskframe.session import cut_lineage
+from riskframe.plans.views import CREDIT_SQL, EARLY_SQL, LINE_KEY, credit, early, late, sql_uniform
+from riskframe.session import cut_lineage, scratch_path
+from riskframe.sources.runs import RunRegistry
 
 # The rounds of the gate, at the depth of the early-stopping run.
 ROUNDS = {**models.GATE_PARAMS, "maxDepth": 4}
+#: A higher WoE of these must not raise the risk.
+DIRECTIONS = {"l_quantity": -1, "l_discount": -1}
 
 
 def _encoded(spark, sf_dir):
@@ -38,7 +41,29 @@ def tstr_gbt(spark, sf_dir):
     data = credit(spark, sf_dir)
     real = early(data).select(*LINE_KEY, *FEATURES, "y")
     synthetic = late(data).select(*FEATURES, "y")
-    return evaluation.evaluate_tstr(real, synthetic, "y", LINE_KEY, params=ROUNDS)
+    return evaluation.evaluate_tstr(real, synthetic, "y", LINE_KEY, params=ROUNDS, directions=DIRECTIONS)
+
+
+@query(
+    "gate_directions",
+    f"""WITH {CREDIT_SQL}, n AS (SELECT ceil(0.3::DOUBLE * count(*))::BIGINT AS n FROM credit WHERE {EARLY_SQL})
+SELECT model, feature, 4 * n AS n_steps, 0::BIGINT AS n_violations FROM n, (SELECT unnest(['TRTR', 'TSTR']) AS model), (SELECT unnest(['l_discount', 'l_quantity']) AS feature)""",
+)
+def gate_directions(spark, sf_dir):
+    """The directed scorecards of the gate's two sides, audited on the same real test rows."""
+    data = credit(spark, sf_dir)
+    real, synthetic = cut_lineage(early(data).select(*LINE_KEY, *FEATURES, "y")), cut_lineage(late(data).select(*FEATURES, "y"))
+    train, test = stratified_split(real, "y", LINE_KEY)
+    test = cut_lineage(test)
+    rows = None
+    for name, frame in (("TRTR", cut_lineage(train)), ("TSTR", synthetic)):
+        encoder = WoETransformer("y", iv_threshold=0.0, exclude_cols=tuple(LINE_KEY)).fit(frame)
+        judged = encoder.transform(test, keep_target=True, keep_cols=LINE_KEY)
+        fitted = cut_lineage(encoder.transform(frame, keep_target=True))
+        _, audit = evaluation.directed_scorecard(fitted, judged, encoder.get_selected_features(), "y", LINE_KEY, DIRECTIONS)
+        audit = audit.select(F.lit(name).alias("model"), "*")
+        rows = audit if rows is None else rows.unionByName(audit)
+    return rows
 
 
 @query("tuned_gbt")
@@ -114,6 +139,14 @@ def learning_curve(spark, sf_dir):
     return models.learning_curve(model, {"train": train, "test": test}, "y")
 
 
+@query("early_stopping")
+def early_stopping(spark, sf_dir):
+    """The curve of the run that stops early: rounds up to ten behind the best one, which the model keeps."""
+    train, test, features = _encoded(spark, sf_dir)
+    model, curve = models.train_early_stopped(train.unionByName(test), features, "y", LINE_KEY)
+    return curve.withColumn("kept_trees", F.lit(len(model.stages[1].treeWeights)))
+
+
 @query("tree_attribution")
 def tree_attribution(spark, sf_dir):
     """Mean absolute log-odds contribution per feature over every test row, and the largest additivity error."""
@@ -136,12 +169,62 @@ def attribution_sample(spark, sf_dir):
 
 @query("credit_training")
 def credit_training(spark, sf_dir):
-    """Split, encode, oversample, tune, judge and gate in one run."""
+    """Split, encode, oversample, tune, judge, gate and register in one run; beside the decision what the registry then holds."""
     data = credit(spark, sf_dir).select(*LINE_KEY, *FEATURES, "y")
+    registry = RunRegistry(spark, scratch_path(spark, "registry"))
     row, _, _, best = evaluation.train_credit_model(
-        data, "y", LINE_KEY, "run-1", "credit_model", grid={"maxDepth": [3, 4], "stepSize": [0.1], "maxIter": [5]}, draws=2
+        data, "y", LINE_KEY, "run-1", "credit_model", grid={"maxDepth": [3, 4], "stepSize": [0.1], "maxIter": [5]}, draws=2, registry=registry
     )
-    return row.withColumn("best", F.lit(str(best)))
+    logged = {r["key"]: F.lit(r["num_value"]) for r in registry.metrics().where("kind = 'metric'").collect()}  # two
+    return row.withColumns({"best": F.lit(str(best)), "n_snapshot": F.lit(registry.read("run-1", "snapshot").count()), **logged})
+
+
+def _run_sql(run_id: str, where: str) -> str:
+    """A training run over some of the credit lines: metrics of the naive scorecard on its test rows, and what it keeps."""
+    split = f"""{CREDIT_SQL}, part AS (SELECT * FROM credit WHERE {where}),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY y) AS n_c, count(*) OVER () AS n, row_number() OVER (PARTITION BY y ORDER BY {sql_uniform('42', *LINE_KEY)},
+    concat_ws('|', {', '.join(LINE_KEY)})) AS r FROM part),
+classes AS (SELECT DISTINCT y, n_c, n, n - ceil(0.3::DOUBLE * n)::BIGINT AS n_train FROM ranked),
+exact AS (SELECT *, n_train * n_c / n::DOUBLE AS share, floor(n_train * n_c / n::DOUBLE)::BIGINT AS base FROM classes),
+given AS (SELECT y, base + CASE WHEN row_number() OVER (ORDER BY share - base DESC, y::VARCHAR) <= n_train - sum(base) OVER () THEN 1 ELSE 0 END AS train FROM exact),
+flagged AS (SELECT ranked.*, r <= n_c - train AS is_test FROM ranked JOIN given USING (y)),
+train AS (SELECT * FROM flagged WHERE NOT is_test), test AS (SELECT * FROM flagged WHERE is_test)"""
+    return f"""({sql_evidence(split, 'train', ['l_quantity'], ['l_returnflag', 'l_discount'])},
+prior AS (SELECT ln(sum(y) / sum(1 - y)::DOUBLE) AS a FROM train),
+judged AS (SELECT t.y, a - coalesce(q.woe, 0) - coalesce(f.woe, 0) - coalesce(d.woe, 0) AS s FROM test t JOIN prior ON TRUE
+  LEFT JOIN (SELECT * FROM evidence WHERE feature = 'l_returnflag') f ON f.category = t.l_returnflag
+  LEFT JOIN (SELECT * FROM evidence WHERE feature = 'l_discount') d ON d.category = t.l_discount::VARCHAR
+  LEFT JOIN (SELECT * FROM evidence WHERE feature = 'l_quantity') q ON {sql_in_bin('t.l_quantity', 'q')}),
+auc AS (SELECT sum(pos * (upto - neg / 2)) / (sum(pos)::DOUBLE * sum(neg)) AS auc FROM (
+  SELECT sum(y) AS pos, sum(1 - y) AS neg, sum(sum(1 - y)) OVER (ORDER BY round(s, 9)) AS upto FROM judged GROUP BY round(s, 9))),
+f1 AS (SELECT count(*) FILTER (WHERE y = 1 AND s > 0) AS tp, count(*) FILTER (WHERE y = 0 AND s > 0) AS fp, count(*) FILTER (WHERE y = 1 AND s <= 0) AS fn FROM judged)
+SELECT '{run_id}' AS run_id, (SELECT count(*) FROM test) AS n_snapshot, (SELECT count(*) FROM evidence) AS n_woe, round(auc, 6) AS auc,
+  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1 FROM auc, f1)"""
+
+
+@query(
+    "run_registry",
+    f"""WITH runs AS ({_run_sql('run-early', EARLY_SQL)} UNION ALL {_run_sql('run-all', 'TRUE')})
+SELECT *, CASE run_id WHEN 'run-early' THEN '1' ELSE '2' END AS version, CASE run_id WHEN 'run-early' THEN 'Archived' ELSE 'Production' END AS stage FROM runs""",
+)
+def run_registry(spark, sf_dir):
+    """Two committed training runs, a retry of the first, and one that dies before its commit, as readers find them."""
+    registry = RunRegistry(spark, scratch_path(spark, "registry"))
+    data = credit(spark, sf_dir).select(*LINE_KEY, "l_quantity", "l_returnflag", "l_discount", "l_shipdate", "y")
+    data = cut_lineage(data)
+    for run_id, rows in (("run-early", early(data)), ("run-all", data), ("run-early", late(data))):
+        evaluation.train_scorecard_run(rows.drop("l_shipdate"), "y", LINE_KEY, registry, run_id, "credit_model", iv_threshold=0.0, threshold=0.5)
+    lost = registry.begin("run-lost")
+    lost.write("snapshot", data.limit(10))
+    lost.log({"AUC": 1.0})
+    found = registry.metrics().where("kind = 'metric'").groupBy("run_id").pivot("key", ["AUC", "F1_Score"]).agg(F.first("num_value"))
+    sizes = []
+    for r in registry.commits().collect():  # one per run
+        kept = scoring.Scorer.load(spark, registry.artefact(r["run_id"], "scorer"))
+        sizes.append((r["run_id"], registry.read(r["run_id"], "snapshot").count(), kept.encoder.woe_table.count()))
+    sizes = spark.createDataFrame(sizes, "run_id string, n_snapshot long, n_woe long")
+    joined = registry.versions().join(found, "run_id").join(sizes, "run_id")
+    return joined.select("run_id", "version", "stage", r6("AUC").alias("auc"), r6("F1_Score").alias("f1"), "n_snapshot", "n_woe")
 
 
 @query("tree_scores")

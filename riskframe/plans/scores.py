@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskframe.functions import binning
 from riskframe.operators import scoring
 from riskframe.operators.profile import attribution_summary
+from riskframe.operators.rows import REASONS
 from riskframe.operators.scorecard import LinearScorecard
 from riskframe.operators.woe import WoETransformer
 from riskframe.plans.encoding import sql_evidence, sql_in_bin
@@ -104,6 +105,18 @@ def batch_scores(spark, sf_dir):
     return _flat_scores(scorer(spark, sf_dir).score(records(spark, sf_dir)))
 
 
+_COUNTERS = {
+    "total": "TRUE", "alerts": "probability > 0.5", "approvals": "NOT probability > 0.5", "undefined": "reasons IS NOT NULL",
+    **{r: f"contains(coalesce(reasons, ''), '{r}')" for r in REASONS},
+}
+
+
+@query("observed_counters", f"WITH s AS ({_SCORE_SQL}) " + " UNION ALL ".join(f"SELECT '{n}' AS counter, count(*) FILTER (WHERE {c}) AS n FROM s" for n, c in _COUNTERS.items()))
+def observed_counters(spark, sf_dir):
+    """Alerts, approvals and violations of every rule, counted while the scores are written."""
+    return scoring.write_scores(scorer(spark, sf_dir), records(spark, sf_dir), scratch_path(spark, "scores"))
+
+
 def _flat_scores(scored):
     return scored.select(
         *LINE_KEY, r6("probability").alias("probability"), "grade", F.array_join("anomaly_reasons", "; ").alias("reasons"),

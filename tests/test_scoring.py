@@ -5,11 +5,15 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskframe.operators import models as M, profile as P, scoring as S
+from riskframe.operators.rows import REASONS
 from riskframe.operators.scorecard import LinearScorecard, sort_attributions
 from riskframe.operators.woe import WoETransformer
+from riskframe.session import scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -173,3 +177,30 @@ def test_tree_scorer_equals_its_parts(spark, training):
         assert rows[r["key"]]["probability"] == r["probability"]
     one = rows[0]
     assert len(one["shap_values"]) == 3 and set(records.columns) < set(one.asDict())
+
+
+def test_counters_beside_the_write_cost_no_scan(spark, scorer):
+    """Each input row is read once, and the counters equal those of a scan of their own."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    schema = "id int, age double, monthly_income double, loan_amount double"
+    rows = [(i, 10.0 + i % 110, float(i % 9) - 1, float(i % 5)) for i in range(500)]
+    records = spark.createDataFrame(rows, schema).repartition(4)
+    path = scratch_path(spark, "scores")
+    got = {r["counter"]: r["n"] for r in S.write_scores(scorer, records.mapInPandas(count, schema), path).collect()}
+    assert read.value == 500
+    written = spark.read.parquet(path)
+    plain = P.alert_counters(written, "probability").first()
+    assert (got["total"], got["alerts"], got["approvals"]) == tuple(plain)
+    assert got["undefined"] == written.where("grade = 'Undefined'").count()
+    for reason in REASONS:
+        assert got[reason] == written.where(F.array_contains("anomaly_reasons", reason)).count()
+    assert got["Invalid age"] > 0 and got["Invalid loan amount"] == 100
+    # The session can still send fitted logistic models to its tasks.
+    data = VectorAssembler(inputCols=["age"], outputCol="features").transform(records.withColumn("y", (F.col("age") > 50).cast("int")))
+    assert LogisticRegression(labelCol="y").fit(data).transform(data).where("prediction = 1").count() > 0

@@ -6,11 +6,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators import evaluation as E, models as M, profile as P
+from riskframe.functions.hashing import uniform
+from riskframe.operators import evaluation as E, models as M, profile as P, scoring as S
 from riskframe.operators.gates import PASS
 from riskframe.operators.orderstats import auc
 from riskframe.operators.sampling import SmoteResampler, assign_folds
 from riskframe.operators.woe import WoETransformer
+from riskframe.session import scratch_path
 
 SMALL = {"maxIter": 3, "maxDepth": 2}
 
@@ -119,3 +121,72 @@ def test_early_stopping_ends_before_the_last_round(encoded):
     curve = M.learning_curve(model, {"held": marked.where("held")}, "y")
     held = P.log_loss(M.predict(model, marked.where("held")), "y", "probability").first()["log_loss"]
     assert curve.where(F.col("round") == rounds - 1).first()["log_loss"] == pytest.approx(held, abs=1e-9)
+
+
+# --- early stopping and directions -----------------------------------------------------------------
+
+
+def test_stopping_round():
+    assert M.stopping_round([3, 2, 1, 1, 1, 1], 3) == (2, 5)
+    assert M.stopping_round([3, 2, 1, 0], 2) == (3, 3)
+    assert M.stopping_round([1, 2, 3, 0], 2) == (0, 2)
+    assert M.stopping_round([1], 1) == (0, 0)
+
+
+def test_staged_margins_end_in_the_probability(encoded):
+    features = [c for c in encoded.columns if c not in ("key", "y")]
+    model = M.train_gbt(encoded, features, "y", {"maxIter": 5, "maxDepth": 3})
+    rows = M.staged_margins(model, M.predict(model, encoded)).collect()
+    assert all(len(r["margins"]) == 5 and r["probability"] == pytest.approx(1 / (1 + math.exp(-r["margins"][-1]))) for r in rows)
+    curve = {r["round"]: r["log_loss"] for r in M.staged_log_loss(M.staged_margins(model, encoded), "y").collect()}
+    library = {r["round"]: r["log_loss"] for r in M.learning_curve(model, {"a": encoded}, "y").collect()}
+    assert curve == pytest.approx(library)
+
+
+def test_early_stopped_training(spark, encoded):
+    """The curve is recomputed in SQL from the written margins; the kept model is that of the best round."""
+    import duckdb
+
+    features = [c for c in encoded.columns if c not in ("key", "y")]
+    params = {"maxIter": 40, "maxDepth": 4, "stepSize": 0.4}
+    model, curve = M.train_early_stopped(encoded, features, "y", ["key"], params, patience=3)
+    rows = curve.collect()
+    held = {r["round"]: r["log_loss"] for r in rows if r["dataset"] == "validation"}
+    best = min(held, key=lambda i: (held[i], i))
+    assert max(held) == best + 3 < 39 and {r["round"] for r in rows if r["best"]} == {best}
+    assert len(model.stages[1].trees) == best + 1
+    marked = encoded.withColumn("held", uniform(42, F.lit("validation"), "key") < 0.3).cache()
+    whole = M.train_gbt(marked.where("not held"), features, "y", params)
+    path = scratch_path(spark, "margins")
+    M.staged_margins(whole, marked).select("held", "y", "margins").write.parquet(path)
+    sql = f"""SELECT held, round, avg(ln(1 + exp(CASE WHEN y = 1 THEN -m ELSE m END))) FROM (
+      SELECT held, y, unnest(margins) AS m, unnest(range(len(margins))) AS round FROM read_parquet('{path}/*.parquet')) GROUP BY ALL"""
+    want = {("validation" if h else "train", r): loss for h, r, loss in duckdb.sql(sql).fetchall()}
+    assert {(r["dataset"], r["round"]): r["log_loss"] for r in rows} == pytest.approx({k: v for k, v in want.items() if k[1] <= best + 3}, abs=1e-9)
+    # The kept model scores as the whole one does after its best round.
+    kept = {r["key"]: r["p"] for r in M.predict(model, encoded, "p").collect()}
+    for r in M.staged_margins(whole, encoded).collect():
+        assert kept[r["key"]] == pytest.approx(1 / (1 + math.exp(-r["margins"][best])), abs=1e-9)
+
+
+def test_directed_scorecard_never_goes_the_wrong_way(spark):
+    """A feature whose WoE raises the risk in the training rows is held at zero; without a direction it isn't, and the audit sees it."""
+    rng = np.random.default_rng(3)
+    rows = [(i, float(rng.normal()), float(rng.normal())) for i in range(400)]
+    data = spark.createDataFrame([(i, a, b, int(a + b + rng.normal() > 0)) for i, a, b in rows], "key long, a double, b double, y int").cache()
+    card, audit = E.directed_scorecard(data, data, ["a", "b"], "y", ["key"], {"a": -1})
+    assert [tuple(r) for r in audit.collect()] == [("a", 1600, 0)] and card.coefficients[0] == pytest.approx(0, abs=1e-9) and card.coefficients[1] > 0
+    free = M.train_scorecard(data, ["a", "b"], "y", {})
+    swept = free.score(S.sweep(data, "a", list(E.SWEEP)))
+    assert M.monotonicity_audit(swept, ["key"], "a").first()["n_violations"] == 1600
+    _, none = E.directed_scorecard(data, data, ["a", "b"], "y", ["key"])
+    assert none.count() == 0
+    _, named = E.directed_scorecard(data.withColumnRenamed("a", "monthly_income"), data.withColumnRenamed("a", "monthly_income"), ["monthly_income", "b"], "y", ["key"])
+    assert [tuple(r) for r in named.collect()] == [("monthly_income", 1600, 0)]
+
+
+def test_gate_lists_its_directions(spark, table):
+    got = gate(spark, table, people(spark, 900, 6))
+    for side in ("TRTR", "TSTR"):
+        assert got[f"{side}_Direction_Steps"][0] == 4 * 270 and got[f"{side}_Direction_Violations"][0] == 0
+        assert got[f"{side}_Scorecard_AUC"][0] > 0.65
