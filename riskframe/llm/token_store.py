@@ -160,7 +160,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str | None = None,
             yield flush()
 
     ranged = ordered.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
-    ranged.mapInArrow(shard, _SHARDS).write.option("compression", "zstd").parquet(path)
+    # The codes are addressed as they are, so nothing is packed around them.
+    ranged.mapInArrow(shard, _SHARDS).write.option("compression", "none").parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -191,3 +192,40 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in schema.split(", ")])
 
     return placed.mapInArrow(decode, schema)
+
+
+def tokens_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(doc_id, at, id): the ids at places ``at`` (from 0) of documents, by rank from the files' codes.
+
+    ``wanted`` is (doc_id, at). Directories say in which shard a place lies; only those shards' codes are read, and of them
+    only the chunks of the ids asked for. A place behind a document's end id, or of an unknown doc_id, gives no row; of
+    documents that share a doc_id, or have none, each one that is long enough gives a row; repeated places count once.
+    """
+    shards = spark.read.schema(_SHARDS).parquet(path)
+    ends = F.transform("doc_ends", lambda e, i: F.struct(F.get("doc_ids", i).alias("doc_id"), F.coalesce(F.get("doc_ends", i - 1), F.lit(0)).alias("first"), e.alias("stop")))
+    directory = shards.select("part", "shard", F.explode(ends).alias("d")).select("part", "shard", "d.*").alias("d")
+    asked = wanted.select("doc_id", "at").filter("at >= 0").distinct().alias("w")
+    placed = directory.join(asked, F.expr("d.doc_id <=> w.doc_id and w.at < d.stop - d.first"))
+    place = F.struct("w.doc_id", "w.at", (F.col("d.first") + F.col("w.at")).alias("place"))
+    # A shard holds so many ids at most, and so many places.
+    places = placed.select("part", "shard", place.alias("p")).groupBy("part", "shard").agg(F.collect_list("p").alias("places"))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                codes = Codes(batch.column("codes")[row].as_buffer())
+                found = batch.column("places")[row].values
+                doc_ids, at, place = found.flatten()
+                ids = pa.array([codes[i] for i in place.to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([doc_ids, at, ids], names=["doc_id", "at", "id"])
+
+    codes = shards.select("part", "shard", "codes").join(places, ["part", "shard"]).select("codes", "places")
+    return codes.mapInArrow(look_up, "doc_id long, at long, id long")
+
+
+def token_at(spark: SparkSession, path: str, doc_id: int, at: int) -> int:
+    """One token of one document."""
+    found = tokens_at(spark, path, spark.createDataFrame([(doc_id, at)], "doc_id long, at long")).limit(1).collect()
+    if not found:
+        raise IndexError(at)
+    return found[0]["id"]

@@ -139,7 +139,7 @@ def test_rollup_of_signed_changes(spark, documents):
     rollup.commit("2", removed)
     # Written, but its commit was never reached.
     removed.groupBy(*rollups.KEYS).agg(F.lit(5).cast("long").alias("documents"), F.lit(5).cast("long").alias("tokens")).write.parquet(
-        f"{rollup.path}/deltas/batch=3"
+        f"{rollup.path}/deltas/attempt=lost"
     )
     got = {(r.source, r.lang, r.tokenizer_version): (r.documents, r.tokens) for r in rollup.totals().collect()}
     want = {}
@@ -158,3 +158,67 @@ def test_revision_replaces_a_count(spark):
     rollup.commit("2", spark.createDataFrame([("a", None, "v", 5, -1), ("a", None, "v", 7, 1)], schema))
     got = {tuple(r) for r in rollup.totals().collect()}
     assert got == {("a", None, "v", 1, 7), (None, None, None, 1, 0)}
+
+
+def test_compacted_totals_are_the_same(spark):
+    """Totals over many batches, before and after compactions, with replays of batches that only a compacted table knows."""
+    rollup = rollups.TokenRollup(spark, scratch_path(spark, "rollup"))
+    assert rollup.totals().count() == 0
+    schema = "source string, lang string, tokenizer_version string, tokens long, sign int"
+    batch = lambda k: spark.createDataFrame([("a", "x", "v", k, 1), (None, "x", "v", 2 * k, 1)], schema)
+    want = {}
+    for k in range(1, 10):
+        rollup.commit(f"b{k}", batch(k))
+        want = {("a", "x", "v"): (k, k * (k + 1) // 2), (None, "x", "v"): (k, k * (k + 1))}
+        if k % 3 == 0:
+            rollup.compact()
+            for old in (1, k):
+                rollup.commit(f"b{old}", batch(999))
+        assert {(r.source, r.lang, r.tokenizer_version): (r.documents, r.tokens) for r in rollup.totals().collect()} == want
+    # What the table before the last one listed has no files of its own any more.
+    assert len(rollups.files.names(spark, f"{rollup.path}/commits")) == 3
+    assert len([n for n in rollups.files.names(spark, f"{rollup.path}/deltas") if n.startswith("attempt=")]) == 3
+
+
+def test_a_compaction_that_died_is_not_read(spark, monkeypatch):
+    rollup = rollups.TokenRollup(spark, scratch_path(spark, "rollup"))
+    schema = "source string, lang string, tokenizer_version string, tokens long, sign int"
+    for k in range(3):
+        rollup.commit(f"b{k}", spark.createDataFrame([("a", "x", "v", 5, 1)], schema))
+
+    def dies(*_):
+        raise SystemExit
+
+    monkeypatch.setattr(rollups.files, "put_once", dies)
+    with pytest.raises(SystemExit):
+        rollup.compact()
+    with pytest.raises(SystemExit):
+        rollup.commit("b9", spark.createDataFrame([("a", "x", "v", 7, 1)], schema))
+    monkeypatch.undo()
+    assert tuple(rollup.totals().first()) == ("a", "x", "v", 3, 15)
+    rollup.compact()
+    rollup.commit("b9", spark.createDataFrame([("a", "x", "v", 7, 1)], schema))
+    assert tuple(rollup.totals().first()) == ("a", "x", "v", 4, 22)
+
+
+@pytest.mark.parametrize("shard_tokens", [50, 1 << 20])
+def test_tokens_of_the_files_by_their_place(spark, documents, monkeypatch, shard_tokens):
+    """Any token of any document, straight from the files; places that aren't there give no row."""
+    monkeypatch.setattr(token_store, "SHARD_TOKENS", shard_tokens)
+    path = scratch_path(spark, "shards")
+    token_store.write_shards(documents, path, tasks=3)
+    want = {}
+    for r in documents.collect():
+        for i, v in enumerate([*ids_of(r.text), 1]):
+            want.setdefault((r.doc_id, i), set()).add(v)
+    rng = random.Random(4)
+    places = rng.sample(sorted(want, key=str), 60) + [(1, 10_000), (1, -1), (999, 0), (3, 0), (None, 0)]
+    asked = spark.createDataFrame([(d, i, "clash") for d, i in places], "doc_id long, at long, codes string")
+    got = {}
+    for r in token_store.tokens_at(spark, path, asked).collect():
+        got.setdefault((r.doc_id, r.at), set()).add(r.id)
+    assert got == {p: want[p] for p in places if p in want}
+    assert token_store.token_at(spark, path, 1, 0) == ids_of("plain text of five words")[0]
+    with pytest.raises(IndexError):
+        token_store.token_at(spark, path, 1, 10_000)
+    assert token_store.tokens_at(spark, path, asked.limit(0)).count() == 0
