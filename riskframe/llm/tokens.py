@@ -9,7 +9,9 @@ kind; with any other one whole texts go to the tokenizer.
 
 from __future__ import annotations
 
+import sys
 from itertools import chain, repeat
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,8 @@ PROBES = [("the", "Cats"), ("don't", "'s"), ("12", "34,"), ("a", "a"), ("...", "
 SIGNS = "|~^#"
 JOINED = 1_000
 
-_ENCODERS: dict[str, "PieceEncoder"] = {}
+#: Where a process keeps its encoders: a task's function brings globals of its own, a module by name is the process's.
+KEPT = "riskframe_kept_encoders"
 
 
 def default_tokenizer() -> str:
@@ -39,10 +42,11 @@ def default_tokenizer() -> str:
 
 
 def encoder(path: str) -> "PieceEncoder":
-    """The worker's encoder for a vocabulary file, made once per process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder for a vocabulary file, made once per process and used by all of its tasks."""
+    kept = vars(sys.modules.setdefault(KEPT, ModuleType(KEPT))).setdefault("encoders", {})
+    if path not in kept:
+        kept[path] = PieceEncoder(path)
+    return kept[path]
 
 
 class PieceEncoder:
