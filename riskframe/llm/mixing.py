@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskframe.llm.common import n_words, stored
+from riskframe.llm.common import WORD, n_words, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -246,3 +246,49 @@ def mix_sources(
     return summed.join(sources.select("nth", "source", "source_size", "target"), "nth").select(
         "doc_id", "size", "source_size", "target", "taken", "source", "text_hash"
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as documents: the drawn word spans, cut from the texts, in the order of their shards and slots.
+
+    Spans of one epoch that touch in a document are one row, placed where the first of them was drawn. A document of which
+    an epoch takes every word is there whole, with its text as it is; of others the white space between the words of a
+    span stays. ``n_chars``, if there is one, is that of the new text; all other columns are the document's, whatever they are
+    called. Nulls, empty texts, ties and repeated rows as in ``mix_sources``; an empty table gives no row.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keys = ["doc_id", "source", "text_hash", "copy"]
+    spans = mix_spans(docs.select("doc_id", "source", "text"), **options)
+    in_epoch = Window.partitionBy(*keys, "epoch").orderBy("a")
+    fresh = F.when(F.lag("b").over(in_epoch) == F.col("a"), 0).otherwise(1)
+    runs = (
+        spans.withColumn("fresh", fresh)
+        .withColumn("run", F.sum("fresh").over(in_epoch))
+        .groupBy(*keys, "size", "epoch", "run")
+        .agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min(F.struct("shard", "slot")).alias("drawn"))
+        .groupBy(*keys, "size")
+        .agg(F.sort_array(F.collect_list(F.struct("epoch", "a", "b", "drawn"))).alias("runs"))
+        .alias("r")
+    )
+    rows = docs.select(whole.alias("row")).withColumn("text_hash", F.xxhash64("row.text"))
+    rest = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("doc_id", "source", "text")]
+    nth = Window.partitionBy("row.doc_id", "row.source", "text_hash").orderBy(*rest if rest else [F.lit(0)])
+    left = rows.withColumn("copy", F.row_number().over(nth) - 1).alias("l")
+    same = "l.row.doc_id <=> r.doc_id and l.row.source <=> r.source and l.text_hash = r.text_hash and l.copy = r.copy"
+    joined = left.join(runs, F.expr(same)).select("l.row", "r.size", "r.runs")
+    # The words are bound by a function of one row: named in the inner one, they would be cut anew for every span.
+    words = F.array(F.regexp_extract_all("row.text", F.lit(f"([\\x20\\x09-\\x0D]*{WORD})")))
+
+    def cut(found: Column) -> Column:
+        piece = lambda r: F.array_join(F.slice(found, (r["a"] + 1).cast("int"), (r["b"] - r["a"]).cast("int")), "")
+        bare = lambda r: F.regexp_replace(piece(r), r"^[\x20\x09-\x0D]+", "")
+        part = lambda r: F.when(r["b"] - r["a"] == F.col("size"), F.lit(None).cast("string")).otherwise(bare(r))
+        return F.transform("runs", lambda r: F.struct(part(r).alias("part"), r["drawn"].alias("drawn"), r["epoch"].alias("epoch"), r["a"].alias("a")))
+
+    parts = joined.select("row", F.explode(F.flatten(F.transform(words, cut))).alias("piece"))
+    ordered = parts.repartitionByRange("piece.drawn", "row.doc_id").sortWithinPartitions("piece.drawn", "row.doc_id", "piece.epoch", "piece.a")
+    text = F.coalesce("piece.part", "row.text")
+    new = {"text": text}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("piece.part").isNull(), F.col("row.n_chars")).otherwise(F.length(text).cast("long"))
+    return ordered.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

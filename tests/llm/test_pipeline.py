@@ -3,8 +3,11 @@
 import collections
 import hashlib
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from riskframe.llm import simhash, toxicity
+from riskframe.session import scratch_path
 from test_near_duplicates import roots, slow_fingerprint
 from test_repeats import by_definition
 
@@ -74,6 +77,49 @@ def test_odd_rows_pass(spark, documents):
     assert sorted(str(r.doc_id) for r in kept) == sorted(str(g) for g in groups)
 
 
+CLASHES = ["copy", "text_hash", "_part", "_rows", "_hash", "_id", "row", "rows", "runs", "size", "piece", "doc_tokens", "source_size", "toxic"]
+
+
+def test_clashing_columns_pass_through(spark, documents):
+    """Columns called like anything inside the stages come out as they went in."""
+    clashing = documents
+    for k, name in enumerate(CLASHES):
+        clashing = clashing.withColumn(name, F.concat(F.lit(f"{name} of "), F.coalesce("doc_id", F.lit(-1)).cast("string")) if k % 2 else F.lit(k))
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, clashing, SF)
+        assert out.columns == clashing.columns, name
+        plain = stage(spark, documents, SF)
+        key = lambda r: (str(r.doc_id), str(r.text), str(r.source))
+        assert sorted(map(key, out.collect())) == sorted(map(key, plain.collect())), name
+        for r in out.collect():
+            for k, c in enumerate(CLASHES):
+                assert r[c] == (f"{c} of {-1 if r.doc_id is None else r.doc_id}" if k % 2 else k), (name, c)
+    assert pipeline.pack(spark, clashing, SF).count() == pipeline.pack(spark, documents, SF).count()
+
+
+def test_mix_is_written_in_the_order_of_its_draws(spark):
+    """Rows lie in the order of their first slots, so documents of all sources stand mixed, and packing keeps that order."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = {}
+    for r in pipeline.mixing.mix_spans(docs, shard_slots=64).collect():
+        first.setdefault((r.doc_id, r.epoch), []).append((r.shard, r.slot, r.a))
+    path = scratch_path(spark, "mixed")
+    pipeline.mixing.mixed_documents(docs, shard_slots=64).coalesce(1).write.parquet(path)
+    rows = spark.read.parquet(path).collect()
+    starts = {(d, (s, k)) for (d, _), spans in first.items() for s, k, _ in spans}
+    shards_of = {}
+    for d, (s, _) in starts:
+        shards_of.setdefault(d, set()).add(s)
+    # The shards of the rows can be chosen to rise: each row has a span in a shard not below that of the row before it.
+    at = 0
+    for r in rows:
+        later = [s for s in shards_of[r.doc_id] if s >= at]
+        assert later, r.doc_id
+        at = min(later)
+    changes = sum(a.source != b.source for a, b in zip(rows, rows[1:]))
+    assert changes > len(rows) / 3
+
+
 def test_run(spark):
     pieces = pipeline.run(spark, SF).collect()
     length = collections.Counter()
