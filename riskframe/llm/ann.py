@@ -86,7 +86,8 @@ class Codes:
 
     def radius(self, vector: np.ndarray, vec_id: int) -> int:
         """The k-th nearest of the sample is no nearer than the k-th nearest of all: its distance's radius is enough."""
-        d = distances(vector, self.sample)[self.ids != vec_id]
+        d = distances(vector, self.sample)
+        d = d[(self.ids != vec_id) | (d > 0)]
         if len(d) < self.k:
             return BITS
         return int(self.radii[np.searchsorted(self.edges, np.partition(d, self.k - 1)[self.k - 1])])
@@ -127,17 +128,18 @@ class Block:
         return rows[np.bitwise_count(self.codes[rows] ^ code) <= radius]
 
     def nearest(self, vector: np.ndarray, code: np.uint64, vec_id: int, radius: int, k: int):
-        """(vec_id, distance) of the k nearest rows retrieved, but for the query's own row.
+        """(vec_id, distance) of the k nearest rows retrieved, but for the query's own row: the one with its id and its vector.
 
         The radius grows where it holds fewer than k rows, so a query always gets k if there are as many.
         """
         while True:
             rows = self.within(code, radius)
-            rows = rows[self.ids[rows] != vec_id]
+            d = distances(vector, self.vectors[rows])
+            other = (self.ids[rows] != vec_id) | (d > 0)
+            rows, d = rows[other], d[other]
             if len(rows) >= k or radius >= BITS:
                 break
             radius = min(BITS, radius + SUBSTRINGS)
-        d = distances(vector, self.vectors[rows])
         best = np.lexsort((self.ids[rows], d))[:k]
         return self.ids[rows[best]], d[best]
 
@@ -147,18 +149,19 @@ def nearest_neighbours(rows: DataFrame, queries: Column, k: int = 10, sample_row
     nearest other rows found by Euclidean distance, ties to the smaller vec_id; all rows, if there are fewer.
 
     Vectors that are null, all zero or hold null or non-finite components, vectors of another length than most, and rows
-    without a vec_id take no part. A repeated vec_id is one row, with the smallest of its vectors. An empty table, or one
-    without queries, gives no row.
+    without a vec_id take no part. Rows that repeat both vec_id and vector are one row; rows that share a vec_id with different
+    vectors are rows of their own, each a candidate of the others, and as queries each has its own ``k`` rows under that
+    query_id. An empty table, or one without queries, gives no row.
     """
     clean = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(usable()).filter("vec_id is not null")
-    table = stored(clean.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("dim", F.size("embedding")), "vectors")
+    table = stored(clean.distinct().withColumn("dim", F.size("embedding")), "vectors")
     sizes = table.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     schema = "query_id long, rank int, vec_id long, score double"
     if sizes is None:
         return rows.sparkSession.createDataFrame([], schema)
     dim, n = sizes
     table = table.filter(F.col("dim") == dim).select("vec_id", "embedding")
-    sample = table.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(sample_rows).toPandas()
+    sample = table.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id", "embedding").limit(sample_rows).toPandas()
     model = Codes(np.stack(sample["embedding"].to_numpy()), sample["vec_id"].to_numpy(), k)
     shared = rows.sparkSession.sparkContext.broadcast(vars(model))  # sample_rows vectors at most
 
@@ -199,14 +202,15 @@ def nearest_neighbours(rows: DataFrame, queries: Column, k: int = 10, sample_row
                 if block is None:  # a block that no row fell into
                     continue
                 codes = model.encode(vectors)
-                out = [(i, *block.nearest(v, c, i, r, k)) for i, v, c, r in zip(ids, vectors, codes, radii[a:b])]
-                sizes = [len(x[1]) for x in out]
+                out = [block.nearest(v, c, i, r, k) for i, v, c, r in zip(ids, vectors, codes, radii[a:b])]
+                own = pa.array(np.repeat(np.arange(a, b), [len(x[0]) for x in out]))
+                found = [pa.array(np.concatenate([x[c] for x in out])) for c in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([x[0] for x in out], sizes)), *(pa.array(np.concatenate([x[c] for x in out])) for c in (1, 2))],
-                    names=["query_id", "vec_id", "score"],
+                    [batch.column("vec_id").take(own), batch.column("row").take(own), *found], names=["query_id", "row", "vec_id", "score"]
                 )
 
-    found = dealt.sortWithinPartitions("block", F.col("radius") >= 0).mapInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    dealt = dealt.withColumn("row", F.xxhash64("embedding"))
+    found = dealt.sortWithinPartitions("block", F.col("radius") >= 0).mapInArrow(search, "query_id long, row long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "row").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
