@@ -11,6 +11,7 @@ Texts meet the lexicon by their different words: a batch is dictionary-encoded a
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -24,15 +25,13 @@ from riskframe.llm import simhash
 from riskframe.llm.common import stored
 from riskframe.llm.tokens import slices
 
-#: A term needs so many different toxic texts (a number, and a share of all toxic texts), and so large a share of toxic
-#: ones among all texts that hold it.
+#: A term needs so many different toxic texts, so large a share of toxic ones among all texts that hold it, and evidence: with
+#: the labels dealt out by chance, so many words in all would be expected to pass (see ``learn_lexicon``).
 MIN_TEXTS = 5
-MIN_TEXT_SHARE = 0.01
 MIN_SHARE = 0.9
+FALSE_TERMS = 1.0
 STEMS = range(4, 9)
 SPLIT = r"[^\p{L}\p{M}]+"
-#: Terms kept, the best supported first: the size of the model.
-MAX_TERMS = 5_000
 #: Labelled groups of near copies the logistic model is fitted on at most (the lexicon uses all of them).
 FIT_ROWS = 20_000
 #: Words left and right of a hit that decide whether it is quoted.
@@ -40,8 +39,8 @@ CONTEXT = 6
 #: Words whose kinds a task remembers, and text bytes it works on at once.
 KNOWN_WORDS = 250_000
 CHUNK_BYTES = 3_000_000
-#: Labels that are broadcast at most; beyond, texts and labels meet in a shuffle.
-BROADCAST_LABELS = 2_000_000
+#: Rows of some 64 bytes that are broadcast at most; beyond, texts and labels meet in a shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Weights of log(1 + open, misspelled, quoted hits) and of the constant, towards which the fit is drawn.
 PRIOR = np.array([3.0, 1.0, 0.5, -3.0])
 
@@ -202,6 +201,11 @@ def features(texts: pa.Array, trie: Trie, known: dict[str, int]) -> np.ndarray:
     return out
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if there are few enough: a doc_id may have one label and very many rows."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic, group, alone) of all labelled training rows.
 
@@ -216,8 +220,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
     marks = stored(marks, "labels")
-    hint = F.broadcast if marks.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS else lambda x: x
-    texts = docs.select("doc_id", "text").filter("doc_id is not null").join(hint(marks), "doc_id")
+    texts = docs.select("doc_id", "text").filter("doc_id is not null").join(_few(marks), "doc_id")
     prints = stored(simhash.with_fingerprints(texts), "label_prints")
     values = stored(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("rows")), "label_values")
     parts = simhash.components(simhash.linked(values)).withColumnRenamed("node", "fp")
@@ -226,12 +229,15 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sizes = named.groupBy("group").agg(F.sum("rows").alias("size"))
     of_value = named.join(sizes, "group").select("fp", "group", (F.col("size") == 1).alias("alone"))
     keys = stored(prints.select("doc_id", "text_hash", "fp").distinct().join(of_value, "fp").drop("fp"), "labelled")
-    return texts.withColumn("text_hash", F.xxhash64("text")).join(hint(keys), ["doc_id", "text_hash"]).drop("text_hash")
+    return texts.withColumn("text_hash", F.xxhash64("text")).join(_few(keys), ["doc_id", "text_hash"]).drop("text_hash")
 
 
 def learn_lexicon(train: DataFrame) -> Trie:
     """Words and stems that occur almost only in toxic texts; all of ``train`` is counted, a group of near copies once.
 
+    A word in n texts, a share s of them toxic, passes if n * KL(s, p) >= log(words / FALSE_TERMS), where p is the share of toxic
+    texts and ``words`` the number of words in at least MIN_TEXTS texts: by Chernoff's bound chance alone then brings
+    FALSE_TERMS of them at most. The support a term needs grows with the logarithm of the vocabulary, not with the corpus.
     A term whose neighbours by one edit are ordinary words (as clean texts show) is matched exactly only.
     """
     split = F.array_distinct(F.split(F.lower("text"), SPLIT))
@@ -251,12 +257,22 @@ def learn_lexicon(train: DataFrame) -> Trie:
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("forms"))
         .filter("forms > 2")
     )
-    toxic_texts = train.filter("toxic = 1").select("group").distinct().count()
-    pure = (F.col("bad") >= max(MIN_TEXTS, MIN_TEXT_SHARE * toxic_texts)) & (F.col("bad") >= MIN_SHARE * (F.col("bad") + F.col("good")))
-    best = lambda df: [r.word for r in df.filter(pure).orderBy(F.desc("bad"), "word").limit(MAX_TERMS).collect()]
-    found = best(stems)
-    shortest = [s for s in found if not any(s != t and s.startswith(t) for t in found)] if len(found) < MAX_TERMS else found
-    words = best(counts)
+    groups = train.select("group", "toxic").distinct().groupBy("toxic").count().collect()  # two
+    sizes = {r["toxic"]: r["count"] for r in groups}
+    chance = sizes.get(1, 0) / max(sum(sizes.values()), 1)
+    if not 0 < chance < 1:
+        return Trie([], [])  # labels of one kind are evidence of nothing
+    n = F.col("bad") + F.col("good")
+    share = F.col("bad") / n
+    divergence = share * F.log(share / chance) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - chance))).otherwise(0.0)
+    seen = counts.filter(n >= MIN_TEXTS).count() + stems.filter(n >= MIN_TEXTS).count()
+    needed = math.log(max(seen, 1) / FALSE_TERMS)
+    passes = (F.col("bad") >= MIN_TEXTS) & (share >= MIN_SHARE) & (share > chance) & (n * divergence >= needed)
+    terms = lambda df: [r.word for r in df.filter(passes).select("word").collect()]
+    found = set(terms(stems))
+    # A stem whose own start is a stem adds nothing.
+    shortest = sorted(s for s in found if not any(s[:k] in found for k in STEMS if k < len(s)))
+    words = sorted(terms(counts))
     trie = Trie(words, shortest)
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +288,7 @@ def learn_lexicon(train: DataFrame) -> Trie:
             )
 
     near = counts.select("word", "bad", "good").mapInArrow(neighbours, "term string, bad long, good long")
-    near = near.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))  # at most MAX_TERMS rows
+    near = near.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))  # a row per term
     common = near.filter((F.col("good") > 0) & (F.col("bad") < MIN_SHARE * (F.col("bad") + F.col("good")))).collect()
     return Trie(words, shortest, frozenset(r.term for r in common))
 
