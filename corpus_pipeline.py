@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskframe.llm import mixing, packing, repeats, simhash, toxicity
-from riskframe.llm.common import WORD, stored
+from riskframe.llm.common import stored
 
 #: The pipeline's near-duplicates share words; the contract's shingles and bits.
 SHINGLE = 4
 MAX_BITS = 4
 
 
-def _matched(docs: DataFrame, found: DataFrame, *columns: Column) -> DataFrame:
-    """Documents with columns of an operator's result, by doc_id and text (nulls match nulls)."""
-    left = docs.withColumn("_hash", F.xxhash64("text")).alias("l")
-    right = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_found"), *columns).alias("r")
-    return left.join(right, F.expr("l.doc_id <=> r._id and l._hash = r._found")).drop("_id", "_found", "_hash")
+def _rows(docs: DataFrame) -> DataFrame:
+    """Documents as one struct ``row``, so that no column of theirs can clash with one of ours, and the hash of the text."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole.alias("row")).withColumn("text_hash", F.xxhash64("row.text"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,12 +31,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows = grouped.groupBy(*name, "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "rows"))
     kept = stored(rows.groupBy("component_id", "lone").agg(first.alias("m")).select("m.*"), "kept_documents")
-    matched = _matched(docs, kept, F.col("rows").alias("_rows"))
-    once = matched.filter("_rows = 1").select(*docs.columns)
+    same = F.expr("l.row.doc_id <=> r.doc_id and l.text_hash = r.text_hash")
+    matched = _rows(docs).alias("l").join(kept.alias("r"), same).select("l.row", "l.text_hash", "r.rows")
+    once = matched.filter("rows = 1").select("row")
     # Rows that repeat a kept document are copies of it too.
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = matched.filter("_rows > 1").groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.min(whole).alias("m"))
-    return once.unionByName(repeated.select("m.*"))
+    repeated = matched.filter("rows > 1").groupBy("row.doc_id", "text_hash").agg(F.min("row").alias("row")).select("row")
+    return once.unionByName(repeated).select("row.*")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,42 +50,9 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The word spans that the mix draws: a row for each, spans of one epoch that touch in a document made one.
-
-    A document of which an epoch takes every word is there whole, with its text as it is; of others the white space between
-    the words of a span stays.
-    """
-    keys = ["doc_id", "source", "text_hash", "copy"]
-    spans = mixing.mix_spans(docs)
-    in_epoch = Window.partitionBy(*keys, "epoch").orderBy("a")
-    fresh = F.when(F.lag("b").over(in_epoch) == F.col("a"), 0).otherwise(1)
-    runs = (
-        spans.withColumn("fresh", fresh)
-        .withColumn("run", F.sum("fresh").over(in_epoch))
-        .groupBy(*keys, "size", "epoch", "run")
-        .agg(F.min("a").alias("a"), F.max("b").alias("b"))
-        .groupBy(*keys, "size")
-        .agg(F.sort_array(F.collect_list(F.struct("epoch", "a", "b"))).alias("runs"))
-        .alias("r")
-    )
-    rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
-    left = docs.withColumn("text_hash", F.xxhash64("text"))
-    nth = Window.partitionBy(*keys[:3]).orderBy(*rest if rest else [F.lit(0)])
-    left = left.withColumn("copy", F.row_number().over(nth) - 1).alias("l")
-    joined = left.join(runs, F.expr(" and ".join(f"l.{k} <=> r.{k}" for k in keys)))
-    # The words are bound by a function of one row: named in the inner one, they would be cut anew for every span.
-    words = F.array(F.regexp_extract_all("l.text", F.lit(f"([\\x20\\x09-\\x0D]*{WORD})")))
-
-    def cut(found: Column) -> Column:
-        piece = lambda r: F.array_join(F.slice(found, (r["a"] + 1).cast("int"), (r["b"] - r["a"]).cast("int")), "")
-        bare = lambda r: F.regexp_replace(piece(r), r"^[\x20\x09-\x0D]+", "")
-        return F.transform("r.runs", lambda r: F.when(r["b"] - r["a"] == F.col("r.size"), F.lit(None).cast("string")).otherwise(bare(r)))
-
-    parts = joined.select(*[F.col(f"l.`{c}`") for c in docs.columns], F.explode(F.flatten(F.transform(words, cut))).alias("_part"))
-    whole = F.col("_part").isNull()
-    text = F.coalesce("_part", "text")
-    new = {"text": text, "n_chars": F.when(whole, F.col("n_chars")).otherwise(F.length(text).cast("long"))}
-    return parts.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    """The word spans that the mix draws, in the order of the draws: a row for each, spans of one epoch that touch in a document
+    made one. Null and empty texts are in no span; an empty table gives no row."""
+    return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -106,7 +72,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of ``documents`` after all stages, each stage's result written before the next one reads it."""
+    """The packed pieces of ``documents`` after all stages, each stage's result written before the next one reads it.
+
+    Null and empty texts have no words to be drawn, so no piece is theirs; an empty table gives no piece.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
