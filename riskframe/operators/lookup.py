@@ -6,8 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows a lookup table may have to be sent to every executor.
+# Rows and bytes a lookup table may have to be sent to every executor.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+# So few rows of a key and a few values are sent without being weighed.
+FEW_ROWS = 1_000
 # A key is hot when it holds at least this share of the weight, so there are at most 1/share of them.
 HOT_SHARE = 0.001
 SPREAD = 4_096
@@ -22,18 +25,20 @@ def lookup(
     table_rows: int | None = None,
     weight: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``df`` with the ``values`` columns of the row of ``table`` whose key equals ``key``, else null.
 
-    ``table_rows`` is the counted size of the table. A table within ``broadcast_rows`` is broadcast.
-    A larger one is shuffled, except for its hot keys (by the ``weight`` column), of which there are at
+    ``table_rows`` is the counted size of the table. A table within ``broadcast_rows`` and ``broadcast_bytes``, as JSON text,
+    is broadcast. A larger one is shuffled, except for its hot keys (by the ``weight`` column), of which there are at
     most ``1 / HOT_SHARE``: those are broadcast, and rows already answered, like rows without a key,
     are spread over the shuffle instead of meeting in one task.
     """
     if table_rows is None:
         table_rows = table.count()
     keyed = df.withColumn("__key", key)
-    if table_rows <= broadcast_rows:
+    row_bytes = F.octet_length(F.to_json(F.struct(F.col(table_key).alias("k"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])))
+    if table_rows <= broadcast_rows and (table_rows <= FEW_ROWS or (table.agg(F.sum(row_bytes)).first()[0] or 0) <= broadcast_bytes):
         small = F.broadcast(table.select(F.col(table_key).alias("__key"), *values))
         return keyed.join(small, "__key", "left").drop("__key")
     hot_names = {v: f"__hot_{v}" for v in values}

@@ -6,6 +6,7 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -272,6 +273,61 @@ def tune_gbt(
     return PipelineModel([assembler, fitted.bestModel]), scores[best][0], scores
 
 
+def tune_gbt_by_rounds(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    fold_col: str,
+    grid: Mapping[str, Sequence] = TUNING_GRID,
+    draws: int = TUNING_DRAWS,
+    folds: int = TUNING_FOLDS,
+    seed: int = 42,
+    parallelism: int = 4,
+    first_rounds: int = 5,
+    factor: int = 3,
+    refit: bool = True,
+) -> tuple[PipelineModel | None, dict, list[tuple[dict, int, float]]]:
+    """Random search by successive halving: every draw is cross-validated with a few rounds, the best 1 / ``factor`` of them
+    with ``factor`` times as many, until one is left or all have their own number of rounds.
+
+    Returns the best draw refitted on all rows with its own number of rounds (None without ``refit``), the draw, and
+    ``(draw, rounds, mean AUC)`` of every trial. All rows are used in every trial; what a draw that is dropped early would
+    have reached with all its rounds isn't known.
+    """
+    assembler = _assembler(features)
+    data = cut_lineage(assembler.transform(_prepare(df, label)).select(FEATURES, label, fold_col))
+    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
+    parts = [(data.where(F.col(fold_col) != k).persist(), data.where(F.col(fold_col) == k).persist()) for k in range(folds)]
+
+    def trial(job: tuple[dict, int, int]) -> float:
+        params, rounds, fold = job
+        train, test = parts[fold]
+        model = _classifier(label, seed, {**params, "maxIter": rounds}).fit(train)
+        return evaluator.evaluate(model.transform(test))
+
+    alive, rounds, trials = draw_parameters(grid, draws, seed), first_rounds, []
+    try:
+        while True:
+            own = [min(rounds, p.get("maxIter", rounds)) for p in alive]
+            jobs = [(p, r, k) for p, r in zip(alive, own) for k in range(folds)]
+            with ThreadPool(parallelism) as pool:
+                found = pool.map(trial, jobs)
+            means = [sum(found[i * folds : (i + 1) * folds]) / folds for i in range(len(alive))]
+            trials += list(zip(alive, own, means))
+            ranked = sorted(range(len(alive)), key=lambda i: (-means[i], i))
+            done = len(alive) == 1 or all(r < rounds for r in own)
+            alive = [alive[i] for i in ranked[: 1 if done else math.ceil(len(alive) / factor)]]
+            if done or len(alive) == 1:
+                break
+            rounds *= factor
+    finally:
+        for pair in parts:
+            for part in pair:
+                part.unpersist()
+    model = PipelineModel([assembler, _classifier(label, seed, alive[0]).fit(data)]) if refit else None
+    return model, alive[0], trials
+
+
 # --- tree attribution ------------------------------------------------------------------------------
 
 

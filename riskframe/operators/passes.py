@@ -8,15 +8,17 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-# Inputs below this planned size may sit in fewer file splits than there are cores.
+# Inputs below this planned size may sit in a single file split; they get so many partitions on any machine, because what is
+# drawn or summed per partition must not depend on the number of its cores.
 SMALL_BYTES = 32 * 1024 * 1024
+SMALL_PARTITIONS = 8
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Give a small input one partition per core; a large input keeps its file splits (no shuffle)."""
+    """Give a small input ``SMALL_PARTITIONS``; a large input keeps its file splits (no shuffle)."""
     if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SMALL_BYTES:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(SMALL_PARTITIONS)
 
 
 @contextmanager

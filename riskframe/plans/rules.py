@@ -43,6 +43,23 @@ def pd_lgd_ead(spark, sf_dir):
     )
 
 
+_KEPT = ["o_orderkey", "c_custkey", "age", "marital_status", "employment_type", "insurance_status", "product_type", "bureau_score", "DTI",
+         "health_risk_score", "past_due_months", "term_months", "monthly_income", "loan_amount", "utilisation", "missed_payment_flag"]
+_NO_TARGET = f"Target column 'Default' not found in DataFrame. Available columns: {_KEPT}"
+
+
+@query("training_frame", f"""WITH {_LOSS_SQL}, flagged AS (SELECT *, (past_due_months > 1)::INT AS missed_payment_flag FROM losses)
+SELECT {', '.join(f'"{c}"' for c in _KEPT)}, '{_NO_TARGET.replace("'", "''")}' AS without_target FROM flagged""")
+def training_frame(spark, sf_dir):
+    """What training reads: identifiers and outcomes dropped where they are there, the target checked; and what a missing one says."""
+    data = losses(spark, sf_dir).withColumns({"customer_id": risk.padded_id("CUST", F.col("c_custkey")), "missed_payment_flag": (F.col("past_due_months") > 1).cast("int")})
+    kept = rows.require_target(rows.drop_if_present(data), "missed_payment_flag")
+    try:
+        rows.require_target(kept, "Default")
+    except KeyError as error:
+        return kept.withColumn("without_target", F.lit(error.args[0]))
+
+
 @query("expected_loss_by_grade", f"""WITH {_LOSS_SQL} SELECT risk_grade, product_type, count(*) AS n, round(sum("EAD"), 2) AS exposure,
   round(sum(expected_loss), 2) AS expected_loss FROM losses GROUP BY risk_grade, product_type""")
 def expected_loss_by_grade(spark, sf_dir):

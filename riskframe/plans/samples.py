@@ -76,9 +76,21 @@ def smote_balance(spark, sf_dir):
     return smote.fit_resample_combined(labelled_documents(spark, sf_dir))
 
 
-@query("smote_credit")
+@query(
+    "smote_credit",
+    f"""WITH {CREDIT_SQL}, m AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {_KEYS}) - 1 AS idx, l_quantity::DOUBLE AS a, l_extendedprice::DOUBLE AS b, l_discount::DOUBLE AS c
+  FROM credit WHERE y = 1),
+near AS (SELECT x.idx, min({{'d': sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) + (x.c - y.c) * (x.c - y.c)), 'i': y.idx}}, 5) AS n
+  FROM m x JOIN m y ON x.idx <> y.idx GROUP BY x.idx),
+draws AS (SELECT floor({_BASE} * (SELECT count(*) FROM m))::BIGINT AS idx, floor({_PICK} * 5)::INT + 1 AS k, {_STEP} AS s
+  FROM (SELECT unnest(range((SELECT count(*) - 2 * sum(y) FROM credit)::BIGINT)) AS i))
+SELECT {_KEYS}, l_quantity::DOUBLE AS l_quantity, l_extendedprice, l_discount, y, 'original' AS origin FROM credit
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, m.a + s * (o.a - m.a), m.b + s * (o.b - m.b), m.c + s * (o.c - m.c), 1, 'synthetic'
+FROM draws JOIN m USING (idx) JOIN near USING (idx) JOIN m o ON o.idx = near.n[k].i""",
+)
 def smote_credit(spark, sf_dir):
-    """The minority of the whole credit table; too many pairs for the SQL twin, checked on a fixture instead."""
+    """The minority of the whole credit table."""
     data = credit(spark, sf_dir).select(*LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "y")
     rows = sampling.SmoteResampler("y", key=LINE_KEY, tag="origin").fit_resample_combined(data)
     return rows.select(*LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "y", "origin")

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_root() -> str:
+    """One folder of this machine for the process."""
+    return tempfile.mkdtemp(prefix="riskframe-")
+
+
 def build_session(app_name: str = "riskframe", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators assume (UTC, AQE, no web page)."""
     builder = (
@@ -39,9 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="riskframe-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    # A running session refuses to have the setting changed, so the folder is kept here.
+    return _local_root()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -54,4 +60,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a written table or a stream checkpoint."""
-    return f"{checkpoint_root(spark).rstrip('/')}/riskframe/{uuid.uuid4().hex}/{name}"
+    return f"{_scratch_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/riskframe/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all written intermediate tables of this application. Results that weren't collected or written elsewhere read
+    them, so call it when those are done."""
+    from riskframe.sources import files
+
+    files.delete(spark, _scratch_folder(spark))

@@ -6,7 +6,7 @@ import __spark_entry__ as entry_points
 from compare import compare
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"tstr_gbt", "tuned_gbt", "ablation", "credit_training", "learning_curve", "tree_attribution", "attribution_sample", "monotone_scorecard"}
+SLOW = {"tstr_gbt", "tuned_gbt", "ablation", "credit_training", "learning_curve", "early_stopping", "tree_attribution", "attribution_sample", "monotone_scorecard"}
 SQLS = entry_points.oracle_sql()
 
 

@@ -68,3 +68,14 @@ def test_checkpoints_go_to_the_folder_of_the_cluster():
         session.checkpoint_root(FakeSession("yarn"))
     local = FakeSession("local[2]")
     assert session.checkpoint_root(local) == session.checkpoint_root(local)
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    from riskframe.sources import files
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda _: str(tmp_path / "shared"))
+    path = session.scratch_path(spark, "table")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3 and files.exists(spark, path)
+    session.clear_scratch(spark)
+    assert not files.exists(spark, path) and files.exists(spark, str(tmp_path / "shared"))

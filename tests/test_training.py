@@ -190,3 +190,20 @@ def test_gate_lists_its_directions(spark, table):
     for side in ("TRTR", "TSTR"):
         assert got[f"{side}_Direction_Steps"][0] == 4 * 270 and got[f"{side}_Direction_Violations"][0] == 0
         assert got[f"{side}_Scorecard_AUC"][0] > 0.65
+
+
+def test_halving_keeps_what_does_best(encoded):
+    """Nine draws, three, one; each trial equals the plain cross-validation with as many rounds."""
+    features = [c for c in encoded.columns if c not in ("key", "y")]
+    folded = assign_folds(encoded, "y", ["key"]).cache()
+    grid = {"maxDepth": [1, 2, 3], "stepSize": [0.05, 0.1, 0.3], "maxIter": [12]}
+    model, best, trials = M.tune_gbt_by_rounds(folded, features, "y", "fold", grid, draws=9, first_rounds=1)
+    assert [sum(r == n for _, r, _ in trials) for n in (1, 3)] == [9, 3]
+    first = sorted((t for t in trials if t[1] == 1), key=lambda t: -t[2])
+    second = [t for t in trials if t[1] == 3]
+    assert sorted(a for _, _, a in first)[-3:] == pytest.approx(sorted(next(a for p, _, a in first if p == q) for q, _, _ in second))
+    assert best == max(second, key=lambda t: t[2])[0] and len(model.stages[1].trees) == 12
+    _, _, [(_, plain)] = M.tune_gbt(folded, features, "y", "fold", {k: [v] for k, v in {**second[0][0], "maxIter": 3}.items()}, draws=1)
+    assert second[0][2] == pytest.approx(plain, abs=0.02)
+    none, only, trials = M.tune_gbt_by_rounds(folded, features, "y", "fold", {"maxDepth": [2], "maxIter": [2]}, draws=1, refit=False)
+    assert none is None and only == {"maxDepth": 2, "maxIter": 2} and [r for _, r, _ in trials] == [2]
