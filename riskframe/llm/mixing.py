@@ -249,9 +249,10 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents: the drawn word spans, cut from the texts, in the order of their shards and slots.
+    """The mix as documents: the drawn word spans, cut from the texts, each partition in the order of their shards and slots.
 
-    Spans of one epoch that touch in a document are one row, placed where the first of them was drawn. A document of which
+    Spans of one epoch that touch in a document are one row, placed where the first of them was drawn. A partition holds the
+    spans of documents chosen by a hash, so each is a mix of all sources as drawn, and texts move only once. A document of which
     an epoch takes every word is there whole, with its text as it is; of others the white space between the words of a
     span stays. ``n_chars``, if there is one, is that of the new text; all other columns are the document's, whatever they are
     called. Nulls, empty texts, ties and repeated rows as in ``mix_sources``; an empty table gives no row.
@@ -286,7 +287,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         return F.transform("runs", lambda r: F.struct(part(r).alias("part"), r["drawn"].alias("drawn"), r["epoch"].alias("epoch"), r["a"].alias("a")))
 
     parts = joined.select("row", F.explode(F.flatten(F.transform(words, cut))).alias("piece"))
-    ordered = parts.repartitionByRange("piece.drawn", "row.doc_id").sortWithinPartitions("piece.drawn", "row.doc_id", "piece.epoch", "piece.a")
+    ordered = parts.sortWithinPartitions("piece.drawn", "row.doc_id", "piece.epoch", "piece.a")
     text = F.coalesce("piece.part", "row.text")
     new = {"text": text}
     if "n_chars" in docs.columns:

@@ -98,26 +98,27 @@ def test_clashing_columns_pass_through(spark, documents):
 
 
 def test_mix_is_written_in_the_order_of_its_draws(spark):
-    """Rows lie in the order of their first slots, so documents of all sources stand mixed, and packing keeps that order."""
+    """The rows of a file lie in the order of their first slots, so documents of all sources stand mixed, and packing keeps that order."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    first = {}
+    shards_of = collections.defaultdict(set)
     for r in pipeline.mixing.mix_spans(docs, shard_slots=64).collect():
-        first.setdefault((r.doc_id, r.epoch), []).append((r.shard, r.slot, r.a))
+        shards_of[r.doc_id].add(r.shard)
     path = scratch_path(spark, "mixed")
-    pipeline.mixing.mixed_documents(docs, shard_slots=64).coalesce(1).write.parquet(path)
-    rows = spark.read.parquet(path).collect()
-    starts = {(d, (s, k)) for (d, _), spans in first.items() for s, k, _ in spans}
-    shards_of = {}
-    for d, (s, _) in starts:
-        shards_of.setdefault(d, set()).add(s)
-    # The shards of the rows can be chosen to rise: each row has a span in a shard not below that of the row before it.
-    at = 0
-    for r in rows:
-        later = [s for s in shards_of[r.doc_id] if s >= at]
-        assert later, r.doc_id
-        at = min(later)
-    changes = sum(a.source != b.source for a, b in zip(rows, rows[1:]))
-    assert changes > len(rows) / 3
+    pipeline.mixing.mixed_documents(docs, shard_slots=64).write.parquet(path)
+    files = spark.read.parquet(path).select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+    by_file = collections.defaultdict(list)
+    for r in files:
+        by_file[r.file].append(r)
+    changes = 0
+    for rows in by_file.values():
+        # Shards can be chosen to rise: each row has a span in a shard not below that of the row before it.
+        at = 0
+        for r in rows:
+            later = [s for s in shards_of[r.doc_id] if s >= at]
+            assert later, r.doc_id
+            at = min(later)
+        changes += sum(a.source != b.source for a, b in zip(rows, rows[1:]))
+    assert changes > len(files) / 3
 
 
 def test_run(spark):
