@@ -79,6 +79,11 @@ def runs(piece: str, extra: str = "") -> list[str]:
     return "".join(c if is_letter(c) or c in extra else " " for c in piece.lower()).split()
 
 
+def without_one(word: str) -> list[str]:
+    """The word, and the word less each of its letters."""
+    return [word, *(word[:i] + word[i + 1 :] for i in range(len(word)))]
+
+
 class Trie:
     """Terms with a mark for stems, which also match every longer word."""
 
@@ -87,18 +92,15 @@ class Trie:
         self.exact_only = exact_only
         self.words, self.stems = set(words), set(stems)
         self.stem_lengths = sorted({len(s) for s in stems})
-        # A word within one edit of a term has the term's first half as its start or its second half as its end.
-        self.starts: dict[int, set[str]] = {}
-        self.ends: dict[int, set[str]] = {}
+        # A word within one edit of a term equals it after at most one letter is taken from each: only such words walk the trie.
+        self.shortened: set[str] = set()
         for term in words:
             node = self.root
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = term
-            half = len(term) // 2
             if self.edits(term):
-                self.starts.setdefault(half, set()).add(term[:half])
-                self.ends.setdefault(len(term) - half, set()).add(term[half:])
+                self.shortened.update(without_one(term))
 
     def edits(self, term: str) -> int:
         return 1 if len(term) >= 5 and term not in self.exact_only else 0
@@ -142,9 +144,7 @@ class Trie:
             if plain != word and self.exact(plain):
                 return 2
             word = plain
-        # A swap in the middle touches both halves, so one letter less of each may have to do.
-        maybe = any(word[:k] in s for k, s in self.starts.items()) or any(word[-k:] in s for k, s in self.ends.items())
-        return 2 if maybe and self.near(word) else 0
+        return 2 if not self.shortened.isdisjoint(without_one(word)) and self.near(word) else 0
 
     def hits(self, piece: str) -> int:
         """Terms in a piece, and ``MISSPELLED`` times the misspelled ones: those of its joined words, else of it as a whole.
@@ -237,7 +237,7 @@ def learn_lexicon(train: DataFrame) -> Trie:
 
     A word in n texts, a share s of them toxic, passes if n * KL(s, p) >= log(words / FALSE_TERMS), where p is the share of toxic
     texts and ``words`` the number of words in at least MIN_TEXTS texts: by Chernoff's bound chance alone then brings
-    FALSE_TERMS of them at most. The support a term needs grows with the logarithm of the vocabulary, not with the corpus.
+    FALSE_TERMS of them at most. Toxic texts count no more often than the word has different neighbours in them. The support a term needs grows with the logarithm of the vocabulary, not with the corpus.
     A term whose neighbours by one edit are ordinary words (as clean texts show) is matched exactly only.
     """
     split = F.array_distinct(F.split(F.lower("text"), SPLIT))
@@ -248,7 +248,15 @@ def learn_lexicon(train: DataFrame) -> Trie:
         .groupBy("word")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
         .filter("bad > 0 or good > 0"),
-        "word_counts",
+        "text_counts",
+    )
+    # A passage that many toxic texts share shows its words once: a word counts in as many texts as it has neighbours there.
+    cut = F.split(F.lower("text"), SPLIT)
+    beside = lambda w, i: F.struct(w.alias("word"), F.xxhash64(F.get("cut", i - 1), F.get("cut", i + 1)).alias("beside"))
+    placed = train.filter("toxic = 1").select(cut.alias("cut")).select(F.explode(F.transform("cut", beside)).alias("p")).select("p.*")
+    places = placed.filter("length(word) between 3 and 40").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("places"))
+    counts = stored(
+        counts.join(places, "word", "left").select("word", F.least("bad", F.coalesce("places", F.lit(0))).alias("bad"), "good"), "word_counts"
     )
     stems = (
         counts.select("bad", "good", F.explode(F.array(*[F.lit(n) for n in STEMS])).alias("n"), "word")
