@@ -94,7 +94,9 @@ def by_dimension(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES, seed: int = SEED) -> DataFrame:
-    """(node, n_links, root) contributions from different vectors (node, copies, dim, embedding array<double>).
+    """(node, n_links, root) contributions from different vectors (node, copies, dim, embedding).
+
+    Vectors travel in the type they have, array<float> or array<double>, and are computed with as doubles.
 
     n_links counts linked vectors, copies included, and is to be summed by node; root ties the node to its group.
     """
@@ -128,7 +130,7 @@ def links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, prob
         return work
 
     index = vectors.mapInArrow(spread(False), "bucket long, role byte, node long")
-    schema = "bucket long, role byte, node long, copies long, dim int, embedding array<double>"
+    schema = f"bucket long, role byte, node long, copies long, dim int, embedding {vectors.schema['embedding'].dataType.simpleString()}"
     rows = gridded(vectors.mapInArrow(spread(True), schema), index, "node")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +142,7 @@ def links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, prob
                 buckets, dims = found.column("bucket").to_numpy(), found.column("dim").to_numpy()
                 flat = found.column("embedding")
                 first = np.concatenate([[0], np.cumsum(dims)]).astype(np.int64)
-                values = flat.flatten().to_numpy(zero_copy_only=False)
+                values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
                 lengths = np.unique(dims)
                 unit_rows = {d: (np.cumsum(dims == d) - 1, unit(values[first[:-1][dims == d][:, None] + np.arange(d)])) for d in lengths}
             keep = nodes[i] != nodes[p]
@@ -201,9 +203,11 @@ def embedding_components(
     vec_id take part as vectors; their component is the smallest vec_id among those linked, null if there is none. Equal
     vectors always link, repeated rows too. An empty table gives no row.
     """
-    plain = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    # A float is a double of half the bytes.
+    element = "float" if rows.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    plain = rows.select("vec_id", F.col("embedding").cast(f"array<{element}>").alias("embedding"))
     # -0.0 is 0.0: the same vector must have one name.
-    plain = plain.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0)))
+    plain = plain.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0).cast(element)))
     key1, key2 = text_key(F.col("embedding"))
     keyed = stored(plain.withColumn("usable", usable()).select("vec_id", "embedding", "usable", key1, key2), "vectors")
     classes = stored(
