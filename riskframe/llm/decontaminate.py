@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from riskframe.llm.common import stored
@@ -261,15 +262,18 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gr
     found = docs.select("doc_id", "text", *none)
     for g in range(groups):
         part = windows.filter(F.pmod(F.xxhash64("window"), F.lit(groups)) == g).select("window", "items").toArrow()
-        tables = spark.sparkContext.broadcast(Searcher(list(zip(part.column(0).to_pylist(), part.column(1).to_pylist()))))
+        searcher = Searcher(list(zip(part.column(0).to_pylist(), part.column(1).to_pylist())))
+        # As bytes by value: executors need no installed copy of the package.
+        tables = spark.sparkContext.broadcast(cloudpickle.dumps(searcher))
         more = g + 1 < groups
 
         def search(batches: Iterator[pa.RecordBatch], tables=tables, more=more) -> Iterator[pa.RecordBatch]:
+            searcher = cloudpickle.loads(tables.value)
             for batch in batches:
                 for rows in slices(batch, "text"):
                     kept = [rows.column("doc_id"), *([rows.column("text")] if more else [])]
                     names = ["doc_id", *(["text"] if more else []), "n_words", "spans", "items"]
-                    yield pa.RecordBatch.from_arrays([*kept, *search_batch(tables.value, rows)], names=names)
+                    yield pa.RecordBatch.from_arrays([*kept, *search_batch(searcher, rows)], names=names)
 
         id_type = docs.schema["doc_id"].dataType.simpleString()
         found = found.mapInArrow(search, f"doc_id {id_type}, " + ("text string, " if more else "") + _FOUND)

@@ -124,5 +124,5 @@ def test_long_shifts_skip_and_lanes_meet():
     for shift in range(0, 150, 7):
         text = "x" * (D.LANE - 60 + shift) + " " + passage + " " + "y" * D.LANE + " " + passage
         searcher = D.Searcher([(passage, ["1"])])
-        assert searcher.occurrences(D.Stream([text.encode()]))[1].tolist() == [1, 12]
+        assert sorted(searcher.occurrences(D.Stream([text.encode()]))[1].tolist()) == [1, 12]
         assert np.median(searcher.tables[0].shift) > 50
