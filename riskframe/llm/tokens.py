@@ -30,8 +30,8 @@ PROBES = [("the", "Cats"), ("don't", "'s"), ("12", "34,"), ("a", "a"), ("...", "
 SIGNS = "|~^#"
 JOINED = 1_000
 
-#: Where a process keeps its encoders: a task's function brings globals of its own, a module by name is the process's.
-KEPT = "riskframe_kept_encoders"
+#: What a process keeps from task to task: a task's function brings globals of its own, a module by name is the process's.
+KEPT = "riskframe_kept"
 
 
 def default_tokenizer() -> str:
@@ -41,12 +41,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def kept(kind: str, name: str, make):
+    """The process's one object of a kind, made anew when another name is asked for."""
+    objects = vars(sys.modules.setdefault(KEPT, ModuleType(KEPT))).setdefault("objects", {})
+    if objects.get(kind, (None,))[0] != name:
+        objects[kind] = (name, make())
+    return objects[kind][1]
+
+
 def encoder(path: str) -> "PieceEncoder":
     """The worker's encoder for a vocabulary file, made once per process and used by all of its tasks."""
-    kept = vars(sys.modules.setdefault(KEPT, ModuleType(KEPT))).setdefault("encoders", {})
-    if path not in kept:
-        kept[path] = PieceEncoder(path)
-    return kept[path]
+    return kept("encoder", path, lambda: PieceEncoder(path))
 
 
 class PieceEncoder:

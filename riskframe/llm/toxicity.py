@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskframe.llm import simhash
 from riskframe.llm.common import stored
-from riskframe.llm.tokens import slices
+from riskframe.llm.tokens import kept, slices
 
 #: A term needs so many different toxic texts, so large a share of toxic ones among all texts that hold it, and evidence: with
 #: the labels dealt out by chance, so many words in all would be expected to pass (see ``learn_lexicon``).
@@ -36,8 +37,8 @@ SPLIT = r"[^\p{L}\p{M}]+"
 FIT_ROWS = 20_000
 #: Words left and right of a hit that decide whether it is quoted.
 CONTEXT = 6
-#: Words whose kinds a task remembers, and text bytes it works on at once.
-KNOWN_WORDS = 250_000
+#: Words whose kinds a process remembers, and text bytes it works on at once.
+KNOWN_WORDS = 400_000
 CHUNK_BYTES = 3_000_000
 #: Rows of some 64 bytes that are broadcast at most; beyond, texts and labels meet in a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -88,6 +89,7 @@ class Trie:
     """Terms with a mark for stems, which also match every longer word."""
 
     def __init__(self, words: list[str], stems: list[str], exact_only: frozenset[str] = frozenset()):
+        self.name = uuid.uuid4().hex
         self.root: dict = {}
         self.exact_only = exact_only
         self.words, self.stems = set(words), set(stems)
@@ -309,7 +311,7 @@ def with_features(rows: DataFrame, trie: Trie) -> DataFrame:
     schema = T.StructType([*rows.schema.fields, *(T.StructField(n, T.LongType()) for n in ("open", "misspelled", "quoted"))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known: dict[str, int] = kept("toxic words", trie.name, dict)
         for batch in batches:
             row = batch.column("row")
             texts = pc.struct_field(row, "text")
