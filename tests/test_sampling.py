@@ -121,3 +121,16 @@ def test_smote_guards(spark, labelled):
         S.SmoteResampler("y", 0.01, key=["key"]).fit_resample_combined(labelled)
     with pytest.raises(ValueError, match="two classes"):
         smote.fit_resample_combined(labelled.where("y = 0"))
+
+
+def test_folds_of_a_training_part_look_at_few_rows(spark, monkeypatch):
+    """A training part lacks the smallest hashes, so its cuts don't lie at their shares; only the bins that hold them are read."""
+    train, _ = S.stratified_split(spark.range(20_000).select(F.col("id").alias("key"), (F.col("id") % 4 % 2).alias("y")), "y", ["key"])
+    looked, exact = [], S._exact_tests
+    monkeypatch.setattr(S, "_exact_tests", lambda df, *rest: (looked.append(df.count()), exact(df, *rest))[1])
+    folded = S.assign_folds(train, "y", ["key"], 3)
+    assert looked and sum(looked) < 100
+    got = folded.toPandas().merge(train.withColumn("u", S.uniform(42, "key")).toPandas())
+    for _, part in got.groupby("y"):
+        folds = part.sort_values("u").fold.to_numpy()
+        assert (np.diff(folds) >= 0).all() and np.ptp(np.bincount(folds)) <= 1
