@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import sampling
 from riskframe.plans.registry import query, table
 from riskframe.plans.views import CREDIT_SQL, LINE_KEY, credit, sql_uniform
+from riskframe.session import written
 
 _KEYS = ", ".join(LINE_KEY)
 _U = sql_uniform("42", *LINE_KEY)
@@ -91,6 +92,7 @@ FROM draws JOIN m USING (idx) JOIN near USING (idx) JOIN m o ON o.idx = near.n[k
 )
 def smote_credit(spark, sf_dir):
     """The minority of the whole credit table."""
-    data = credit(spark, sf_dir).select(*LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "y")
+    # The target is a hash of the key; oversampling reads the rows several times.
+    data = written(credit(spark, sf_dir).select(*LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "y"), "credit")
     rows = sampling.SmoteResampler("y", key=LINE_KEY, tag="origin").fit_resample_combined(data)
     return rows.select(*LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "y", "origin")
