@@ -207,3 +207,54 @@ def test_halving_keeps_what_does_best(encoded):
     assert second[0][2] == pytest.approx(plain, abs=0.02)
     none, only, trials = M.tune_gbt_by_rounds(folded, features, "y", "fold", {"maxDepth": [2], "maxIter": [2]}, draws=1, refit=False)
     assert none is None and only == {"maxDepth": 2, "maxIter": 2} and [r for _, r, _ in trials] == [2]
+
+
+# --- rows that are equal ---------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """12 different rows, 1,800 in all, of uneven numbers."""
+    return spark.range(1800).select(
+        F.col("id").alias("key"), (F.col("id") % 3).cast("double").alias("a"), (F.col("id") % 4 % 2).cast("double").alias("b"),
+        F.when(F.col("id") % 7 < 2 + F.col("id") % 3, 1).otherwise(0).alias("y"),
+    )
+
+
+def test_equal_rows_are_one_point_of_training(spark, repeated):
+    model = M.train_gbt(repeated, ["a", "b"], "y", {"maxIter": 3, "maxDepth": 2})
+    path = scratch_path(spark, "points")
+    model.stages[1].save(path)
+    roots = spark.read.parquet(f"{path}/data").where("nodeData.id = 0").select("nodeData.rawCount", "nodeData.impurityStats").collect()
+    assert {r["rawCount"] for r in roots} == {12} and {r["impurityStats"][0] for r in roots} == {1800.0}
+    assert {t.rows[0] for t in M.tree_arrays(model.stages[1])} == {1800.0}
+    _, curve = M.train_early_stopped(repeated, ["a", "b"], "y", ["key"], {"maxIter": 3, "maxDepth": 2})
+    whole = repeated.withColumn("held", uniform(42, F.lit("validation"), "key") < 0.3)
+    fitted = M.train_gbt(whole.where("not held"), ["a", "b"], "y", {"maxIter": 3, "maxDepth": 2})
+    want = M.staged_log_loss(M.staged_margins(fitted, whole), "y", by=["held"]).collect()
+    got = {(r["dataset"] == "validation", r["round"]): r["log_loss"] for r in curve.collect()}
+    assert got == pytest.approx({(r["held"], r["round"]): r["log_loss"] for r in want if (r["held"], r["round"]) in got})
+
+
+def test_points_that_rounds_draw_from_hold_every_row_once(repeated):
+    points = M.merged_rows(repeated, ["a", "b", "y"], 64).collect()
+    sizes = {}
+    for r in points:
+        sizes.setdefault((r["a"], r["b"], r["y"]), []).append(r[M.WEIGHT])
+    want = {(r["a"], r["b"], r["y"]): r["count"] for r in repeated.groupBy("a", "b", "y").count().collect()}
+    assert {k: sum(v) for k, v in sizes.items()} == want
+    assert all(len(v) == min(64, want[k]) and max(v) - min(v) <= 1 for k, v in sizes.items())
+    few = M.merged_rows(repeated.where("key < 30"), ["a", "b", "y"], 64)
+    assert few.count() == 30 and few.agg(F.max(M.WEIGHT)).first()[0] == 1.0
+
+
+def test_audit_of_merged_rows_is_the_audit_of_all_rows(repeated):
+    """Rows that share a key, null keys among them, are one row of the audit, as a window over the key sees them."""
+    rows = repeated.withColumn("key", F.when(F.col("key") < 1700, F.col("key"))).unionByName(repeated.where("key < 40"))
+    card = M.LinearScorecard(["a", "b"], [0.7, -0.4], 0.1, [0.0, 0.0])
+    got = {r["feature"]: (r["n_steps"], r["n_violations"]) for r in E.sweep_audit(card, rows, ["key"], {"a": -1, "b": -1}).collect()}
+    for f in ("a", "b"):
+        want = M.monotonicity_audit(card.score(S.sweep(rows, f, list(E.SWEEP))), ["key"], f).first()
+        assert got[f][0] == want["n_steps"]
+    once = E.sweep_audit(card, repeated, ["key"], {"a": -1, "b": -1}).collect()
+    assert {r["feature"]: (r["n_steps"], r["n_violations"]) for r in once} == {"a": (7200, 7200), "b": (7200, 0)}
