@@ -95,3 +95,21 @@ def test_parts_of_an_article(element):
     for d in ARTICLE_PARTS_DROPPED:
         assert html_text.blocks(f"<{element}>{d}gone</{d[1:].split(' ')[0]}><p>kept</p></{element}>")[0] == ["kept"], d
     assert html_text.blocks('<div id="side-effects">gone</div><div>kept</div>')[0] == ["kept"]
+
+
+def test_repetition_decides_inside_articles(spark):
+    notice, passage = "all rights belong to the makers of this page here", "a line that two articles of this host both quote"
+    own = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(5)]
+    page = "<main><p>{}</p><p>{}</p></main>"
+    rows = [(k, f"http://a.org/{k}", page.format(b, notice)) for k, b in enumerate(own[:4])]
+    rows += [(4, "http://a.org/4", page.format(own[4], passage)), (5, "http://a.org/5", page.format(own[0] + " more", passage))]
+    want = dict(enumerate(own[:4])) | {4: f"{own[4]}\n\n{passage}", 5: f"{own[0]} more\n\n{passage}"}
+    # copies of one article are no evidence, near copies stay whole, two articles are too few
+    rows += [(10 + k, f"http://b.org/{k}", page.format(own[0], notice)) for k in range(5)]
+    rows += [(20 + k, f"http://c.org/{k}", page.format(own[1] + f" n{k}", "end")) for k in range(4)]
+    rows += [(30 + k, f"http://d.org/{k}", page.format(own[k], notice)) for k in range(2)]
+    want |= {r[0]: r[2][9:-11].replace("</p><p>", "\n\n") for r in rows if r[0] >= 10}
+    rows += [rows[0], (None, None, None)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html_text.main_text(table.repartition(3)).collect()
+    assert len(got) == len(rows) and {r.page_id: r.text for r in got} == want | {None: ""}
