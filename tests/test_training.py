@@ -258,3 +258,41 @@ def test_audit_of_merged_rows_is_the_audit_of_all_rows(repeated):
         assert got[f][0] == want["n_steps"]
     once = E.sweep_audit(card, repeated, ["key"], {"a": -1, "b": -1}).collect()
     assert {r["feature"]: (r["n_steps"], r["n_violations"]) for r in once} == {"a": (7200, 7200), "b": (7200, 0)}
+
+
+# --- the whole search ------------------------------------------------------------------------------
+
+
+def test_every_draw_is_fitted_with_all_of_its_rounds(encoded, monkeypatch):
+    features = [c for c in encoded.columns if c not in ("key", "y")]
+    folded = assign_folds(encoded, "y", ["key"])
+    fitted, make = [], M._classifier
+    monkeypatch.setattr(M, "_classifier", lambda *a, **k: (fitted.append(dict(a[2])), make(*a, **k))[1])
+    grid = {"maxDepth": [1, 2], "maxIter": [2, 3], "subsamplingRate": [0.8, 1.0]}
+    model, best, scores = M.tune_gbt(folded, features, "y", "fold", grid, draws=8)
+    assert len(scores) == 8 and len(fitted) == 3 * 8 + 1
+    assert all(fitted.count(p) == 3 + (p == best) for p, _ in scores)
+    assert len(model.stages[1].trees) == best["maxIter"]
+
+
+def test_the_registered_training_run_searches_the_whole_grid(spark, tmp_path, monkeypatch):
+    """Ten draws of the library's grid, as many rounds as they ask for."""
+    from riskframe.plans import QUERIES
+
+    rng = np.random.default_rng(8)
+    rows = [
+        (i, i % 7, i % 11, 1 + i % 3, float(rng.integers(1, 51)), float(rng.normal(9000, 2000)), float(rng.integers(0, 11) / 100), float(rng.integers(0, 9) / 100), "RAN"[i % 3], "OF"[i % 2])
+        for i in range(600)
+    ]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    table = spark.createDataFrame(rows, columns).withColumn("l_shipdate", F.lit("1998-01-01").cast("timestamp_ntz"))
+    table.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    asked, search = [], E.tune_gbt
+
+    def small(df, features, label, fold, grid, draws, folds, *rest):
+        asked.append((grid, draws, folds))
+        return search(df, features, label, fold, {"maxDepth": [2], "maxIter": [2]}, 1, folds, *rest)
+
+    monkeypatch.setattr(E, "tune_gbt", small)
+    assert QUERIES["credit_training"](spark, str(tmp_path)).count() == 1
+    assert asked == [(M.TUNING_GRID, 10, 3)] and max(M.TUNING_GRID["maxIter"]) == 500
