@@ -296,3 +296,66 @@ def test_the_registered_training_run_searches_the_whole_grid(spark, tmp_path, mo
     monkeypatch.setattr(E, "tune_gbt", small)
     assert QUERIES["credit_training"](spark, str(tmp_path)).count() == 1
     assert asked == [(M.TUNING_GRID, 10, 3)] and max(M.TUNING_GRID["maxIter"]) == 500
+
+
+# --- passes over the rows --------------------------------------------------------------------------
+
+
+def raw_rows(spark, rows=3000):
+    return spark.range(rows).select(
+        F.col("id").alias("key"), (uniform(1, "id") * 1000).alias("price"), (F.col("id") % 7).cast("double").alias("few"),
+        F.when(uniform(2, "id") < 0.2 + 0.6 * uniform(1, "id"), 1).otherwise(0).alias("y"),
+    )
+
+
+def test_candidate_splits_are_quantiles_of_all_rows(spark):
+    rows = raw_rows(spark).withColumn("hot", F.when(F.col("key") % 3 == 0, F.lit(500.0)).otherwise(F.col("price"))).cache()
+    cuts = M.split_candidates(rows, ["price", "few", "hot"])
+    assert set(cuts) == {"price", "hot"} and len(cuts["price"]) == 31 and len(cuts["hot"]) <= 31
+    prices = sorted(r["price"] for r in rows.collect())
+    assert cuts["price"] == [prices[math.ceil(j * 3000 / 32) - 1] for j in range(1, 32)]
+    # The value of every third row lies in a bin of its own.
+    coded = M.binned(rows, ["hot"], cuts, "__bin").where("hot = 500 or (hot > 499 and hot < 501)")
+    assert coded.where("hot = 500").select("hot__bin").distinct().count() == 1
+    own = coded.where("hot = 500").first()["hot__bin"]
+    assert M.binned(rows, ["hot"], cuts, "__bin").where((F.col("hot__bin") == own) & (F.col("hot") != 500)).count() == 0
+
+
+def test_bins_keep_missing_values_missing(spark):
+    rows = spark.createDataFrame([(None,), (float("nan"),), (1.0,), (2.0,), (9.0,)], "x double")
+    found = [r["b"] for r in M.binned(rows, ["x"], {"x": [1.0, 3.0]}, "__b").select(F.col("x__b").alias("b")).collect()]
+    assert found[0] is None and math.isnan(found[1]) and found[2:] == [0.0, 1.0, 2.0]
+
+
+def test_ablation_of_many_rows_trains_on_bins(spark, monkeypatch):
+    """Training points on raw values are no more than there are combinations of bins, and both forms judge alike."""
+    rows, points, train = raw_rows(spark).cache(), [], E.train_gbt
+
+    def counted(df, features, label, *rest):
+        points.append(df.select(*features, label).distinct().count())
+        return train(df, features, label, *rest)
+
+    monkeypatch.setattr(E, "train_gbt", counted)
+    params = {"maxIter": 3, "maxDepth": 3}
+    plain = {r["key"]: r["p_raw"] for r in E.ablation(rows, "y", ["key"], params).collect()}
+    monkeypatch.setattr(E, "FEW_POINTS", 100)
+    scored = E.ablation(rows, "y", ["key"], params).cache()
+    assert scored.columns == ["key", "y", "p_raw", "p_woe"]
+    found = {r["key"]: r["p_raw"] for r in scored.collect()}
+    assert points[0] == 2100 and points[2] <= 32 * 7 * 2 and points[1] == points[3]
+    assert found.keys() == plain.keys() and np.mean([abs(found[k] - plain[k]) for k in found]) < 0.02
+    assert auc(scored, "y", "p_raw").first()["auc"] > 0.6
+
+
+def test_scores_are_judged_once_for_each_different_row(repeated):
+    """As every row by itself would be, from as many rows as there are different ones; a row without a label counts nowhere."""
+    rows = repeated.withColumn("y", F.when(F.col("key") % 50 > 0, F.col("y")))
+    seen = []
+
+    def score(df):
+        seen.append(df.count())
+        return df.withColumn("probability", 0.3 * F.col("a") + 0.1 * F.col("b"))
+
+    got = M.judge(score, rows, ["a", "b"], "y")
+    assert seen == [rows.select("a", "b", "y").distinct().count()] and got == pytest.approx(M.evaluate(score(rows), "y"))
+    assert got["f1"] > 0
