@@ -359,3 +359,11 @@ def test_scores_are_judged_once_for_each_different_row(repeated):
     got = M.judge(score, rows, ["a", "b"], "y")
     assert seen == [rows.select("a", "b", "y").distinct().count()] and got == pytest.approx(M.evaluate(score(rows), "y"))
     assert got["f1"] > 0
+
+
+def test_gate_scores_no_row_twice(spark, table, monkeypatch):
+    sizes, predict = [], E.predict
+    monkeypatch.setattr(E, "predict", lambda model, df, *rest: (sizes.append(M.WEIGHT in df.columns), predict(model, df, *rest))[1])
+    copies = table.unionByName(table.withColumn("key", F.col("key") + 1000))
+    got = gate(spark, copies, people(spark, 300, 6))
+    assert sizes == [True, True] and got["TRTR_AUC"][0] > 0.6
